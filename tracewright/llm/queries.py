@@ -6,20 +6,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewright.llm import exact_dedup
+from tracewright.llm import chat, exact_dedup, packing, secrets, url_filter
 from tracewright.llm.common import table
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), tokens=False)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(chat.trap(spark))
+    return chat.digests(chat.format_chats(rows))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(table(spark, sf_dir, "documents")).drop("row_no")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_exact_dedup,)}
+    return {f.__name__: f for f in (op1_packing, op2_url_filter, op3_secret_scan, op5_chat_format, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_url_filter": url_filter.vocabulary_sql(),
+        "op5_chat_format": chat.DIGESTS_SQL,
         "op10_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                    row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC) = 1 AS kept,
