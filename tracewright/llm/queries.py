@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import chat, exact_dedup, langid, packing, secrets, simhash, toxicity, url_filter
+from tracewright.llm import chat, exact_dedup, langid, packing, phrases, secrets, simhash, toxicity, url_filter
 from tracewright.llm.common import table
 
 
@@ -57,12 +57,16 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op9_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(table(spark, sf_dir, "documents")).drop("row_no")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_url_filter, op3_secret_scan, op4_simhash, op5_chat_format, op7_toxicity, op8_language_id, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_packing, op2_url_filter, op3_secret_scan, op4_simhash, op5_chat_format, op7_toxicity, op8_language_id, op9_phrases, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
