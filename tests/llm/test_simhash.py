@@ -63,21 +63,35 @@ def planted(n, seed):
     return list(dict.fromkeys(fps))
 
 
-@pytest.mark.parametrize(("dense", "three", "distance"), [(1 << 16, 1 << 25, 4), (40, 1 << 25, 4), (1 << 16, 0, 4), (60, 0, 4), (1 << 16, 1 << 25, 3), (1 << 16, 1 << 25, 7)])
-def test_links_lose_nothing(spark, monkeypatch, dense, three, distance):
-    monkeypatch.setattr(s, "THREE_SEGMENTS", three)
+@pytest.mark.parametrize(("dense", "shared", "distance"), [(1 << 16, 64, 4), (40, 64, 4), (1 << 16, 0, 4), (60, 0, 4), (300, 1, 4), (1 << 16, 64, 3), (1 << 16, 8, 8), (1 << 16, 64, 7)])
+def test_links_lose_nothing(spark, monkeypatch, dense, shared, distance):
+    monkeypatch.setattr(s, "SHARED", shared)
+    monkeypatch.setattr(s, "FOREST", 100)
     fps = planted(900, dense + distance)
     nodes = spark.createDataFrame([(k, x - (1 << 64) if x >> 63 else x) for k, x in enumerate(fps)], "rep long, fp long")
     edges = s.links(nodes, len(fps), distance, dense)
-    for a, b in {(r.a, r.b) for r in edges.collect()}:
-        assert (fps[a] ^ fps[b]).bit_count() <= distance
     got = {r.node: r.root for r in s.components(edges).collect()}
     assert [got.get(k, k) for k in range(len(fps))] == brute_roots(list(range(len(fps))), fps, distance)
 
 
-def test_components_of_long_chains(spark):
+@pytest.mark.parametrize("per_task", [1 << 20, 50])
+def test_components_of_long_chains(spark, monkeypatch, per_task):
+    monkeypatch.setattr(s, "EDGES_PER_TASK", per_task)
     n = 400
     edges = [(k, k + 1) for k in range(n) if k % 100 != 99] + [(5, 5), (7, 3)]
     random.Random(1).shuffle(edges)
     got = {r.node: r.root for r in s.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: k // 100 * 100 for k in range(n) if k % 100}
+
+
+def test_dedup_keeps_one_of_each_class(spark, odd_docs):
+    rng = random.Random(9)
+    base = [" ".join(f"w{rng.randint(0, 4000)}" for _ in range(400)) for _ in range(12)]
+    texts = base + [t.replace(" w1", " x1", 1) for t in base[:6]]
+    docs = spark.createDataFrame([(k, t, "fp") for k, t in enumerate(texts)], "doc_id long, text string, fp string")
+    out = s.dedup(docs)
+    assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == list(range(12))
+
+
+def test_segments_grow_with_the_table():
+    assert [s.segments_for(n, 4) for n in (100, 200_000, 1_000_000, 100_000_000, 10**11)] == [5, 5, 4, 3, 2]

@@ -8,8 +8,8 @@ its first l segments differs in at most floor(l * t / m) bits. Every distinct fi
 looked up under all values within the first budget of them (only bits that are 0 here are flipped where one flip is allowed: of two segments
 that differ in one bit, one has the 0). Within a bucket the second and later budgets of the chain prune pairs before the full distance.
 
-Equal fingerprints are folded before anything else, so copies of a text cost one row. Buckets are read as sorted runs; a run's links are
-reported as a spanning forest, never as all its pairs. A segment value shared by more than `dense` fingerprints has no
+Equal fingerprints are folded before anything else, so copies of a text cost one row. Buckets are read as sorted runs; what a
+task links is reported as stars to the smallest of each component, never as all pairs. A segment value shared by more than `dense` fingerprints has no
 bucket; all that meet it are linked exactly by another way: each is filed under every fingerprint within distance t / 2 of it, and all under one such centre
 are within t of each other, so a star to the smallest is made of true links only and no bucket grows with the square of its size.
 
@@ -35,11 +35,12 @@ SEED = 42
 DISTANCE = 4
 #: More fingerprints than this under one segment value, and all that meet it are linked through centres instead.
 DENSE = 1 << 16
-#: Up to this many distinct fingerprints the ring has three segments; beyond it two, whose values are longer.
-THREE_SEGMENTS = 1 << 25
+#: The ring has as many segments as leave this many fingerprints under a segment value on average, so the pairs looked at stay in proportion.
+SHARED = 64
 KEY_BITS = 40  # of a key, for the value; the segment's number stands above
-FOREST = 24  # runs longer than this are searched breadth first
-PAIRS = 1 << 21  # pairs of short runs looked at at once
+FOREST = 512  # runs longer than this are searched breadth first
+EDGES_PER_TASK = 1 << 20
+PAIRS = 1 << 19  # pairs of short runs looked at at once
 
 
 def shingle_hashes(text: str, width: int) -> list[int]:
@@ -53,27 +54,38 @@ def shingle_hashes(text: str, width: int) -> list[int]:
     return [digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[width - 1 :], strict=False)]
 
 
-def fingerprint(text: str | None, width: int) -> int:
-    hashes = shingle_hashes(text or "", width)
-    if not hashes:
-        return 0
+def _bits(values: np.ndarray) -> int:
     counts = np.zeros(BITS, np.int64)
-    values = np.array(hashes, dtype="<u8")
     for k in range(0, len(values), 1 << 16):
         counts += np.unpackbits(values[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(counts * 2 > len(values), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed number) of each row; no shuffle."""
+def fingerprint(text: str | None, width: int, prints: int = 1) -> list[int]:
+    """The fingerprint, and further ones from the same hashes mixed anew."""
+    hashes = shingle_hashes(text or "", width)
+    if not hashes:
+        return [0] * prints
+    values, out = np.array(hashes, dtype="<u8"), []
+    for _ in range(prints):
+        out.append(_bits(values))
+        values = (values ^ (values >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+        values ^= values >> np.uint64(33)
+    return out
+
+
+def fingerprints(docs: DataFrame, width: int, prints: int = 1) -> DataFrame:
+    """doc_id, a hash of the text, and fp, fp1, ... (the 64 bits as signed numbers) of each row; no shuffle."""
+    names = ["fp", *(f"fp{k}" for k in range(1, prints))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, width) for t in batch.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64), pa.int64())], names=["doc_id", "fp"])
+            found = np.array([fingerprint(t, width, prints) for t in batch.column("text").to_pylist()], dtype=np.uint64).reshape(-1, prints).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), *(pa.array(found[:, k]) for k in range(prints))], names=["doc_id", "text_hash", *names])
 
     bound_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, " + ", ".join(f"{n} long" for n in names))
 
 
 def ring(segments: int) -> list[tuple[int, int]]:
@@ -145,8 +157,31 @@ def _forest(fps: np.ndarray, home: np.ndarray, which: int, segments: int, distan
     return out
 
 
+def segments_for(n_nodes: int, distance: int) -> int:
+    """As many segments as possible, up to one more than the distance, whose values are long enough for so many fingerprints; two at least."""
+    return next((m for m in range(distance + 1, 2, -1) if n_nodes <= SHARED << (BITS // m)), 2)
+
+
+def stars(i: np.ndarray, j: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The components of linked positions as stars (name, smallest name of the component)."""
+    known, place = np.unique(np.concatenate([names[i], names[j]]), return_inverse=True)
+    a, b = place[: len(i)], place[len(i) :]
+    label = np.arange(len(known))
+    while True:
+        least = np.minimum(label[a], label[b])
+        after = label.copy()
+        np.minimum.at(after, a, least)
+        np.minimum.at(after, b, least)
+        after = after[after]
+        if (after == label).all():
+            break
+        label = after
+    some = label != np.arange(len(known))
+    return known[some], known[label[some]]
+
+
 def run_links(keys: np.ndarray, fps: np.ndarray, home: np.ndarray, segments: int, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of linked pairs in runs of equal keys (sorted); in long runs only as many as span them."""
+    """Positions of linked pairs in runs of equal keys (sorted); in long runs as many as span them."""
     edges = np.nonzero(np.diff(keys))[0] + 1
     first, last = np.concatenate(([0], edges)), np.concatenate((edges, [len(keys)]))
     size = last - first
@@ -158,18 +193,19 @@ def run_links(keys: np.ndarray, fps: np.ndarray, home: np.ndarray, segments: int
     short = (size > 1) & (size <= FOREST)
     ends = np.repeat(np.where(short, last, first), size)  # no pairs for the others
     after = np.maximum(ends - np.arange(len(keys)) - 1, 0)
-    cuts = np.searchsorted(np.cumsum(after), np.arange(PAIRS, after.sum() + PAIRS, PAIRS))
+    total = np.cumsum(after)
     begin = 0
-    for cut in np.minimum(cuts + 1, len(keys)):
+    while begin < len(keys) and total[-1] > (total[begin - 1] if begin else 0):
+        cut = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + PAIRS, side="right")))
         n = after[begin:cut]
-        i = np.repeat(np.arange(begin, max(cut, begin)), n)
+        i = np.repeat(np.arange(begin, min(cut, len(keys))), n)
         j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
         some = home[i] | home[j]
         i, j = i[some], j[some]
         ok = _linked(fps[i], fps[j], keys[i] >> KEY_BITS, segments, distance)
         left.append(i[ok])
         right.append(j[ok])
-        begin = max(cut, begin)
+        begin = cut
     none = np.zeros(0, int)
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
@@ -210,8 +246,8 @@ def bucket_links(rows: DataFrame, segments: int, distance: int) -> DataFrame:
                 continue
             keys, reps, fps, home = whole
             i, j = run_links(keys, fps.view(np.uint64), home.astype(bool), segments, distance)
-            pairs = np.unique(np.stack([np.minimum(reps[i], reps[j]), np.maximum(reps[i], reps[j])]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            far, near = stars(i, j, reps)
+            yield pa.RecordBatch.from_arrays([pa.array(far), pa.array(near)], names=["a", "b"])
 
     dealt = rows.repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(link, "a long, b long")
@@ -244,7 +280,7 @@ def dense_values(nodes: DataFrame, segments: int, dense: int) -> DataFrame:
 
 def links(nodes: DataFrame, n_nodes: int, distance: int = DISTANCE, dense: int = DENSE) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of nodes (rep, fp) within the distance."""
-    segments = 3 if n_nodes <= THREE_SEGMENTS else 2
+    segments = segments_for(n_nodes, distance)
     rows = file_nodes(nodes, segments, distance)
     if n_nodes <= dense:  # no value can be shared by more
         return bucket_links(rows, segments, distance)
@@ -258,9 +294,32 @@ def links(nodes: DataFrame, n_nodes: int, distance: int = DISTANCE, dense: int =
     return bucket_links(rows.join(small(heavy, n_heavy), "key", "left_anti"), segments, distance).unionByName(centre_links(crowd, distance))
 
 
+def contract(edges: DataFrame, n_edges: int) -> DataFrame:
+    """Each task turns the edges that it reads, some EDGES_PER_TASK, into stars (u, v) to the smallest node of their components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(b.column("a").to_numpy(zero_copy_only=False), b.column("b").to_numpy(zero_copy_only=False)) for b in batches]
+        if parts:
+            a, b = (np.concatenate(x) for x in zip(*parts, strict=True))
+            far, near = stars(np.arange(len(a)), np.arange(len(a), 2 * len(a)), np.concatenate([a, b]))
+            yield pa.RecordBatch.from_arrays([pa.array(far), pa.array(near)], names=["u", "v"])
+
+    return edges.coalesce(-(-max(1, n_edges) // EDGES_PER_TASK)).mapInArrow(run, "u long, v long")
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of the edges (a, b) but the roots; root is the smallest node reachable. Alternates large and small stars until nothing changes; each round is written to the shared folder."""
-    now = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    """(node, root) for every node of the edges (a, b) but the roots; root is the smallest node reachable.
+
+    Tasks contract their own edges first; if one task held them all, that is the answer. Otherwise large and small stars alternate until nothing changes, each round written to the shared folder."""
+    edges = materialize(edges.filter("a <> b"))
+    n_edges = edges.count()
+    now = materialize(contract(edges, n_edges))
+    if n_edges > EDGES_PER_TASK:
+        now = _star_rounds(materialize(now.distinct()))
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def _star_rounds(now: DataFrame) -> DataFrame:
     mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     while mark[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -273,17 +332,42 @@ def components(edges: DataFrame) -> DataFrame:
         now, settled, mark = after, then == mark, then
         if settled:
             break
-    return now.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
+    return now.groupBy("u").agg(F.min("v").alias("v"))
+
 
+def classes(docs: DataFrame, width: int = 4, distance: int = DISTANCE, dense: int = DENSE, prints: int = 1) -> DataFrame:
+    """doc_id, text_hash, fp, component_id (the smallest doc_id reachable) of every row.
 
-def classes(docs: DataFrame, width: int = 4, distance: int = DISTANCE, dense: int = DENSE) -> DataFrame:
-    """doc_id, fp, component_id (the smallest doc_id reachable) of every row."""
+    With more than one fingerprint, rows link if any of them are within the distance: that finds more of the texts whose likeness is at the limit."""
     largest = (1 << 63) - 1
-    rows = materialize(fingerprints(docs, width))
-    nodes = materialize(rows.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(largest))).alias("rep")))
-    found = materialize(components(links(nodes, nodes.count(), distance, dense)))
-    named = materialize(nodes.join(small(found), nodes["rep"] == found["node"], "left").select("fp", F.coalesce("root", "rep").alias("component_id")))
-    return rows.join(small(named), "fp").select("doc_id", "fp", F.when(F.col("component_id") != largest, F.col("component_id")).alias("component_id"))
+    rows = materialize(fingerprints(docs, width, prints).withColumn("own", F.coalesce("doc_id", F.lit(largest))))
+    if prints == 1:
+        nodes = materialize(rows.groupBy("fp").agg(F.min("own").alias("rep")))
+        found = materialize(components(links(nodes, nodes.count(), distance, dense)))
+        named = materialize(nodes.join(small(found), nodes["rep"] == found["node"], "left").select("fp", F.coalesce("root", "rep").alias("component_id")))
+        out = rows.join(small(named), "fp")
+    else:
+        names = ["fp", *(f"fp{k}" for k in range(1, prints))]
+        texts = materialize(rows.groupBy(*names).agg(F.min("own").alias("rep")))  # equal fingerprints throughout: one class already
+        edges = None
+        for n in names:
+            nodes = materialize(texts.groupBy(F.col(n).alias("fp")).agg(F.min("rep").alias("rep")))
+            near = links(nodes, nodes.count(), distance, dense)
+            equal = texts.select(F.col(n).alias("fp"), F.col("rep").alias("a")).join(nodes.withColumnRenamed("rep", "b"), "fp").filter("a <> b").select("a", "b")
+            more = materialize(near.unionByName(equal))
+            edges = more if edges is None else edges.unionByName(more)
+        found = materialize(components(edges))
+        named = materialize(texts.join(small(found), texts["rep"] == found["node"], "left").select(*names, F.coalesce("root", "rep").alias("component_id")))
+        out = rows.join(small(named), names)
+    return out.select("doc_id", "text_hash", "fp", F.when(F.col("component_id") != largest, F.col("component_id")).alias("component_id"))
+
+
+def dedup(docs: DataFrame, width: int = 5, distance: int = 8, prints: int = 3) -> DataFrame:
+    """One row of each class, the one with the smallest doc_id, with all columns."""
+    key = lambda text_hash: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text_hash.cast("string"))
+    found = classes(docs, width, distance, prints=prints)
+    dropped = materialize(found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key(F.col("text_hash")).alias("__key")).distinct())
+    return docs.withColumn("__key", key(F.xxhash64("text"))).join(small(dropped), "__key", "left_anti").select(*docs.columns)
 
 
 def fingerprint_text(fp: str = "fp"):
