@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 50_000
 #: Arrow batches handed to Python hold at most this many bytes, so that long texts don't pile up in a worker.
 BATCH_BYTES = 16 << 20
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +32,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def bound_batches(spark: SparkSession) -> None:
+    """Called by operators that run Python: bounds its batches, and lets workers import the package from where the driver has it (a cluster gets it by --py-files)."""
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 

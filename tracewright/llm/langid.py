@@ -18,8 +18,9 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.llm.common import bound_batches, bounded_sample
@@ -49,7 +50,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def grams_of(word: str, n: int) -> list[str]:
-    marked = f"<{word}>"
+    marked = f"<{word}>" if n > 1 else word
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
@@ -147,3 +148,17 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     bound_batches(docs.sparkSession)
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "lang_pred string, score double"])
     return docs.select(*(F.col(c).alias(f"k{k}") for k, c in enumerate(keep)), F.col("text")).mapInArrow(run, schema)
+
+
+def teller(spark: SparkSession, model: Model):
+    """A function from a text column to a struct of lang_pred and score."""
+    held = spark.sparkContext.broadcast(model)  # bounded by the vocabulary
+
+    @F.pandas_udf("struct<lang_pred: string, score: double>")
+    def tell(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = Predictor(held.value)
+        for batch in texts:
+            yield pd.DataFrame([own(t) for t in batch], columns=["lang_pred", "score"])
+
+    bound_batches(spark)
+    return tell

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import chat, exact_dedup, langid, packing, phrases, secrets, simhash, toxicity, url_filter
+from tracewright.llm import chat, exact_dedup, langid, mixing, packing, phrases, secrets, simhash, toxicity, url_filter
 from tracewright.llm.common import table
 
 
@@ -39,6 +39,11 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(rows))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", mixing.domain_of().alias("domain"))
+    return mixing.rates(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+
+
 def fold(doc_id: str, n: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % n
 
@@ -66,7 +71,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_url_filter, op3_secret_scan, op4_simhash, op5_chat_format, op7_toxicity, op8_language_id, op9_phrases, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_packing, op2_url_filter, op3_secret_scan, op4_simhash, op5_chat_format, op6_mixing, op7_toxicity, op8_language_id, op9_phrases, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
