@@ -174,3 +174,50 @@ def sin_cos(value: Column, bands: int) -> Column:
     """Sines, then cosines, of the value at doubling frequencies."""
     f = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: value * F.pow(F.lit(2.0), k))
     return F.concat(F.transform(f, F.sin), F.transform(f, F.cos))
+
+
+def relative_pose(first: Column, p: Point) -> Point:
+    """A world point in the camera of a clip's first frame."""
+    return apply_extrinsics(first, p)
+
+
+def bilinear(corners: tuple[Column, Column, Column, Column], fu: Column, fv: Column) -> Column:
+    """From the values at (0, 0), (1, 0), (0, 1), (1, 1) and the fractions along both axes."""
+    a, b, c, d = corners
+    return a * (1 - fu) * (1 - fv) + b * fu * (1 - fv) + c * (1 - fu) * fv + d * fu * fv
+
+
+def resized_height(width: Column, height: Column, to: int = 518, unit: int = 14) -> Column:
+    """Height for a new width, rounded (half to even) to whole units."""
+    return (F.bround(height * to / width / unit) * unit).cast("long")
+
+
+def support_point(i: Column, n: int, size: float, width: float) -> Column:
+    """The i-th of n places that keep a margin of a 64th of the width; the middle if there is one place."""
+    margin = width // 64
+    return F.lit(size / 2) if n == 1 else margin + i * (size - 1 - 2 * margin) / (n - 1)
+
+
+def ndc_focal(focal: Column, height: Column, width: Column) -> Column:
+    """In units of half the shorter side."""
+    return focal * 2 / F.least(height, width)
+
+
+def ndc_principal(c: Column, size: Column, height: Column, width: Column) -> Column:
+    """G34."""
+    return -(c - size / 2) * 2 / F.least(height, width)
+
+
+def sigmoid(x: Column) -> Column:
+    return 1 / (1 + F.exp(-x))
+
+
+def huber(error: Column, delta: float = 1.0) -> Column:
+    """A41."""
+    e = F.abs(error)
+    return F.when(e <= delta, 0.5 * e * e).otherwise(delta * (e - 0.5 * delta))
+
+
+def cross_entropy(target: Column, logit: Column) -> Column:
+    """Of a logit against 0 or 1, in the form that doesn't overflow."""
+    return F.greatest(logit, F.lit(0.0)) - logit * target + F.log1p(F.exp(-F.abs(logit)))

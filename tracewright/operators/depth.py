@@ -26,9 +26,10 @@ def video_scale(scales: DataFrame, clip: Sequence[str] = ()) -> DataFrame:
 
 def align_video(pixels: DataFrame, frame: Sequence[str], known: str, pred: str, clip: Sequence[str] = ()) -> DataFrame:
     """Pixels with pred multiplied by the clip's scale. A clip is one row of the side that is joined."""
-    scale = video_scale(frame_scales(pixels, [*clip, *frame], known, pred), clip)
-    joined = pixels.join(scale, list(clip)) if clip else pixels.join(F.broadcast(scale))  # one row
-    return joined.withColumn("aligned", F.col(pred) * F.col("scale"))
+    key = list(clip) or ["__all"]
+    rows = pixels if clip else pixels.withColumn("__all", F.lit(0))
+    joined = rows.join(video_scale(frame_scales(rows, [*key, *frame], known, pred), key), key)
+    return joined.withColumn("aligned", F.col(pred) * F.col("scale")).drop("__all")
 
 
 def kth_values(rows: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:

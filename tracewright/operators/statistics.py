@@ -116,11 +116,17 @@ def digest_mod(value: Column, modulus: int) -> Column:
 
 
 def weighted_choice(draws: DataFrame, unit: str, weights: DataFrame, name: str, weight: str, order: str) -> DataFrame:
-    """For each number in [0, 1) the item in whose share of the summed weights it falls. The items are few (a list of datasets) and are broadcast."""
-    total = Window.partitionBy()
-    upto = F.sum(weight).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    shares = weights.withColumns({"__to": upto / F.sum(weight).over(total), "__from": (upto - F.col(weight)) / F.sum(weight).over(total)}).select(name, "__from", "__to")
-    return draws.join(F.broadcast(shares), (F.col(unit) >= F.col("__from")) & (F.col(unit) < F.col("__to"))).drop("__from", "__to")
+    """For each number in [0, 1) the item in whose share of the summed weights it falls. The items are a short list of datasets: they are folded into one array, which every draw searches."""
+    items = weights.groupBy(F.lit(0).alias("__all")).agg(F.sort_array(F.collect_list(F.struct(order, F.col(weight).cast("double").alias("w"), F.col(name).alias("n")))).alias("__items"), F.sum(weight).cast("double").alias("__sum"))
+    start = F.struct(F.lit(0.0).alias("upto"), F.lit(None).cast(weights.schema[name].dataType).alias("n"))
+
+    def step(a: Column, item: Column) -> Column:
+        upto = a["upto"] + item["w"]
+        inside = a["n"].isNull() & (F.col(unit) < upto / F.col("__sum"))
+        return F.struct(upto.alias("upto"), F.when(inside, item["n"]).otherwise(a["n"]).alias("n"))
+
+    both = draws.withColumn("__all", F.lit(0)).join(F.broadcast(items), "__all")  # one row
+    return both.withColumn(name, F.aggregate("__items", start, step)["n"]).drop("__all", "__items", "__sum")
 
 
 def round_robin(index: Column, devices: Sequence[str]) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions import geometry as g
 from tracewright.functions import text as x
-from tracewright.operators import depth, matching, quality, retarget, segments, statistics
+from tracewright.operators import depth, fitting, matching, quality, retarget, segments, statistics, transforms
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -997,3 +997,250 @@ def x16_elapsed_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT page_id, CASE WHEN trim(html) = '' THEN 0 ELSE len(string_split_regex(trim(html, chr(32)), '\\s+')) END AS words FROM pages")
 def x17_word_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", x.words(F.col("html")).alias("words"))
+
+
+# further operators
+
+@query(f"WITH {TR} SELECT clip, max(abs(x)) > 0.99 OR max(abs(y)) > 0.99 AS world FROM tr GROUP BY clip")
+def p27_pixel_format_sniff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tracks(spark, sf_dir).groupBy("clip").agg((F.max(F.greatest(F.abs("x"), F.abs("y"))) > 0.99).alias("world"))
+
+
+@query("SELECT s_suppkey, CAST(s_suppkey % 12 AS BIGINT) AS gpu FROM supplier WHERE s_suppkey % 12 < 8")
+def p29_gpu_id_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = F.explode(F.split(F.concat_ws(",", (F.col("s_suppkey") % 12).cast("string"), F.lit("99"), F.lit("x")), ",")).alias("gpu")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", ids).select("s_suppkey", F.col("gpu").try_cast("bigint").alias("gpu")).filter(F.col("gpu").between(0, 7))
+
+
+@query(f"WITH {TR} SELECT clip, track, CAST(step AS INT) AS step FROM tr WHERE x > 0 AND y > 0 AND x < 0.5 AND y < 0.5")
+def p22_static_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inside = ~quality.out_of_bounds(F.col("x"), F.col("y"), 0.5, 0.5) & (F.col("x") > 0) & (F.col("y") > 0)
+    return tracks(spark, sf_dir).filter(inside).select("clip", "track", "step")
+
+
+@query(f"WITH {EV} SELECT user_id, pos // 16 AS win, count(CASE WHEN event_id % 64 < (pos // 16 + 1) * 16 THEN 1 END) AS active FROM ev GROUP BY ALL")
+def p24_track_start_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = steps(spark, sf_dir).withColumn("win", F.floor(F.col("pos") / 16))
+    return ev.groupBy("user_id", "win").agg(F.count_if(F.col("event_id") % 64 < (F.col("win") + 1) * 16).alias("active"))
+
+
+@query("SELECT l_suppkey, count(CASE WHEN l_extendedprice > 1000 AND l_extendedprice < 50000 AND l_linenumber BETWEEN 2 AND 5 THEN 1 END) AS evaluated FROM lineitem GROUP BY l_suppkey")
+def p25_eval_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d, v = F.col("l_extendedprice"), F.col("l_linenumber")
+    return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count_if((d > 1000) & (d < 50000) & v.between(2, 5)).alias("evaluated"))
+
+
+@query("SELECT label AS clip, vec_id AS track, CAST(embedding[1] AS DOUBLE) AS gt_x, CAST(embedding[3] AS DOUBLE) AS est_x, CAST(embedding[3] AS DOUBLE) AS x FROM embeddings")
+def p21_annot_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("label").alias("clip"), F.col("vec_id").alias("track"), F.get("embedding", F.lit(0)).cast("double").alias("gt_x"), F.get("embedding", F.lit(2)).cast("double").alias("est_x"))
+    return rows.transform(transforms.annotations("est", ["x"]))
+
+
+@query(f"WITH {EV}, q AS (SELECT user_id, pos, value FROM ev WHERE pos % 5 = 0) SELECT e.user_id, e.pos, q.value AS at_query FROM ev e JOIN q ON q.user_id = e.user_id AND q.pos = e.pos - e.pos % 5")
+def j09_query_frame_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = steps(spark, sf_dir)
+    own = ev.filter("pos % 5 = 0").select("user_id", F.col("pos").alias("query"), F.col("value").alias("at_query"))
+    return ev.withColumn("query", F.col("pos") - F.col("pos") % 5).join(own, ["user_id", "query"]).select("user_id", "pos", "at_query")
+
+
+@query(f"""WITH {UNFOLD}, b AS (SELECT user_id, win, max_by(value, struct_pack(v := value, p := -pos)) AS best FROM uf WHERE place >= 8 GROUP BY ALL)
+    SELECT u.user_id, u.win AS "window", u.place, round(u.value - b.best, 6) + 0.0 AS rel FROM uf u JOIN b ON b.user_id = u.user_id AND b.win = u.win - 1""")
+def j16_stream_overlap_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = segments.unfold(steps(spark, sf_dir).select("user_id", "pos", "value"), ["user_id"], 16, 8)
+    best = segments.best_of(w.filter("place >= 8"), ["user_id", "window"], F.col("value")).select("user_id", (F.col("window") + 1).alias("window"), F.col("score").alias("best"))
+    return w.join(best, ["user_id", "window"]).select("user_id", "window", "place", r(F.col("value") - F.col("best")).alias("rel"))
+
+
+@query("SELECT l_suppkey, round(avg(CASE WHEN abs(l_tax - l_discount) <= 0.05 THEN 0.5 * (l_tax - l_discount) ** 2 ELSE 0.05 * (abs(l_tax - l_discount) - 0.025) END), 8) + 0.0 AS huber, round(avg(greatest(l_tax, 0.0) - l_tax * CAST(l_discount > 0.05 AS DOUBLE) + ln(1 + exp(-abs(l_tax)))), 6) + 0.0 AS bce FROM lineitem GROUP BY l_suppkey")
+def a41_track_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = g.huber(F.col("l_tax") - F.col("l_discount"), 0.05)
+    b = g.cross_entropy((F.col("l_discount") > 0.05).cast("double"), F.col("l_tax"))
+    return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(r(F.avg(h), 8).alias("huber"), r(F.avg(b)).alias("bce"))
+
+
+@query(f"WITH {CELLS} SELECT f, round(avg(d), 6) + 0.0 AS mean, min(d) AS low FROM c WHERE u BETWEEN 5 AND 14 AND v BETWEEN 10 AND 19 GROUP BY f")
+def a42_patch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    box = F.col("u").between(5, 14) & F.col("v").between(10, 19)
+    return _cells(spark, sf_dir).filter(box).groupBy("f").agg(r(F.avg("d")).alias("mean"), F.min("d").alias("low"))
+
+
+@query(f"WITH {TR} SELECT clip, track, CAST(step AS INT) AS step, 1.0::DOUBLE / count(*) OVER (PARTITION BY clip, floor(x / 0.1), floor(y / 0.1)) AS weight FROM tr")
+def a46_anchor_sampling_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fitting.sampling_weights(tracks(spark, sf_dir), ["clip"], ["x", "y"], 0.1).select("clip", "track", "step", "weight")
+
+
+@query("WITH s AS (SELECT l_suppkey, least(5.0, abs(l_tax - l_discount) * 20) AS rr FROM lineitem), d AS (SELECT *, stddev_samp(rr) OVER (PARTITION BY l_suppkey) AS s FROM s) SELECT l_suppkey, round(avg(exp(-1 * ((0.5 - rr) ** 2) / (2 * s * s))), 6) + 0.0 AS weight FROM d GROUP BY l_suppkey")
+def a48_gaussian_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select("l_suppkey", F.least(F.lit(5.0), F.abs(F.col("l_tax") - F.col("l_discount")) * 20).alias("rr"))
+    s = F.stddev_samp("rr").over(segments.Window.partitionBy("l_suppkey"))
+    return rows.withColumn("w", F.exp(-F.pow(F.lit(0.5) - F.col("rr"), F.lit(2)) / (2 * s * s))).groupBy("l_suppkey").agg(r(F.avg("w")).alias("weight"))
+
+
+@query("SELECT l_suppkey, round(sum(abs(l_tax - l_discount) * CAST(l_quantity > 10 AS DOUBLE)) / nullif(sum(CAST(l_quantity > 10 AS DOUBLE)), 0), 6) + 0.0 AS loss FROM lineitem GROUP BY l_suppkey")
+def a49_ssi_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = (F.col("l_quantity") > 10).cast("double")
+    return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(r(F.sum(F.abs(F.col("l_tax") - F.col("l_discount")) * m) / F.nullif(F.sum(m), F.lit(0.0))).alias("loss"))
+
+
+@query("SELECT user_id, count(*) AS n, round(sum(value), 4) + 0.0 AS sum, round(avg(value), 6) + 0.0 AS avg FROM events GROUP BY user_id")
+def a36_running_meter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = depth.nan_as_null(F.col("value"))
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(v).alias("n"), r(F.sum(v), 4).alias("sum"), r(F.avg(v)).alias("avg"))
+
+
+@query(f"WITH {PT}, a AS (SELECT *, sqrt(x * x + y * y + z * z) AS t FROM p) SELECT count(*) AS frames, count(*) AS matched, true AS close FROM a WHERE t < 3 AND t > 1e-6")
+def a21_rotation_repr_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = g.rotvec_of_quaternion(*g.quaternion_of_rotvec(*_xyz()))
+    err = F.greatest(*(F.abs(b - a) for a, b in zip(_xyz(), back, strict=True)))
+    rows = _points(spark, sf_dir).withColumn("t", F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("z") * F.col("z"))).filter("t < 3 AND t > 1e-6")
+    return rows.agg(F.count("*").alias("frames"), F.count_if(err < 1e-6).alias("matched"), (F.max(err) < 1e-9).alias("close"))
+
+
+@query(f"WITH {TR}, n AS (SELECT clip, track, step, x, lead(x) OVER (PARTITION BY clip, track ORDER BY step) AS x1 FROM tr) SELECT clip, track, CAST(k AS INT) AS k, round(CASE WHEN f = 0 THEN x ELSE x + f * (x1 - x) END, 6) + 0.0 AS x FROM (SELECT n.*, k, k * 31 / 20.0 - step AS f FROM n, range(21) t(k) WHERE floor(k * 31 / 20.0) = step)")
+def w18_time_embed_interp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = tracks(spark, sf_dir).withColumn("x1", F.lead("x").over(segments.Window.partitionBy("clip", "track").orderBy("step")))
+    places = F.filter(F.sequence(F.lit(0), F.lit(20)), lambda k: F.floor(k * 31 / 20) == F.col("step"))
+    at = pieces.withColumn("k", F.explode(places)).withColumn("f", F.col("k") * 31 / 20 - F.col("step"))
+    return at.select("clip", "track", "k", r(F.when(F.col("f") == 0, F.col("x")).otherwise(F.col("x") + F.col("f") * (F.col("x1") - F.col("x")))).alias("x"))
+
+
+@query("SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY value, event_id) - 1 AS sorted, event_id AS id FROM events")
+def o09_query_sort_unsort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.positions(table(spark, sf_dir, "events").withColumn("id", F.col("event_id")), ["user_id"], ["value", "event_id"], "sorted").select("event_id", "sorted", "id")
+
+
+@query(f"WITH {CELLS}, t AS (SELECT c.*, tu, tv FROM c, range(5) a(tu), range(5) b(tv) WHERE u >= tu * 8 - 1 AND u < tu * 8 + 9 AND v >= tv * 8 - 1 AND v < tv * 8 + 9) SELECT f, tu, tv, count(*) AS n, count(CASE WHEN u // 8 = tu AND v // 8 = tv THEN 1 END) AS owned FROM t GROUP BY ALL")
+def e10_tile_split_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cover = lambda c: F.filter(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long")), lambda t: (F.col(c) >= t * 8 - 1) & (F.col(c) < t * 8 + 9))
+    tiles = _cells(spark, sf_dir).withColumn("tu", F.explode(cover("u"))).withColumn("tv", F.explode(cover("v")))
+    owned = (F.floor(F.col("u") / 8) == F.col("tu")) & (F.floor(F.col("v") / 8) == F.col("tv"))
+    return tiles.groupBy("f", "tu", "tv").agg(F.count("*").alias("n"), F.count_if(owned).alias("owned"))
+
+
+@query("SELECT o_orderkey, 'F' AS part FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, 'O' FROM orders WHERE o_orderstatus = 'O'")
+def e04_union_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    parts = [o.filter(F.col("o_orderstatus") == s).select("o_orderkey", F.lit(s).alias("part")) for s in ("F", "O")]
+    return parts[0].unionByName(parts[1])
+
+
+@query(f"WITH {CAM} SELECT vec_id, round((500 * cx + 320 * cz) / (cz + 1e-8), 6) + 0.0 AS u, round((480 * cy + 240 * cz) / (cz + 1e-8), 6) + 0.0 AS v FROM cam")
+def g03_project_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return g04_project_uvz(spark, sf_dir).select("vec_id", "u", "v")
+
+
+@query(f"WITH {PT}, f AS (SELECT arg_min(x, vec_id) AS x0, arg_min(y, vec_id) AS y0, arg_min(z, vec_id) AS z0 FROM p) SELECT vec_id, round(x - x0, 6) + 0.0 AS x, round(y - y0, 6) + 0.0 AS y, round(z - z0, 6) + 0.0 AS z FROM p, f")
+def g08_first_frame_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _points(spark, sf_dir)
+    first = p.groupBy(F.lit(0).alias("all")).agg(F.min_by(F.struct("x", "y", "z"), "vec_id").alias("o"))  # one row
+    m = F.array(*(F.lit(float(i == j)) if j < 3 else (-F.col(f"o.{'xyz'[i]}") if i < 3 else F.lit(1.0)) for i in range(4) for j in range(4)))
+    moved = p.withColumn("all", F.lit(0)).join(F.broadcast(first), "all").withColumn("m", m)
+    return moved.select("vec_id", *(r(c).alias(n) for n, c in zip("xyz", g.relative_pose(F.col("m"), _xyz()), strict=True)))
+
+
+@query("SELECT vec_id, round(a * (1 - fu) * (1 - fv) + b * fu * (1 - fv) + c * (1 - fu) * fv + d * fu * fv, 6) + 0.0 AS value FROM (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b, CAST(embedding[3] AS DOUBLE) AS c, CAST(embedding[4] AS DOUBLE) AS d, (vec_id % 10) / 10.0 AS fu, (vec_id % 7) / 7.0 AS fv FROM embeddings)")
+def g28_bilinear_sampler(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corners = tuple(F.get("embedding", F.lit(k)).cast("double") for k in range(4))
+    return table(spark, sf_dir, "embeddings").select("vec_id", r(g.bilinear(corners, (F.col("vec_id") % 10) / 10, (F.col("vec_id") % 7) / 7)).alias("value"))
+
+
+@query("SELECT p_partkey, CAST(round_even(p_size * 10 * 518 / 640.0 / 14, 0) * 14 AS BIGINT) AS height FROM part")
+def m20_resize_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", g.resized_height(F.lit(640), F.col("p_size") * 10).alias("height"))
+
+
+@query("SELECT CAST(i * 16 + j AS BIGINT) AS track, round(10 + j * (640 - 1 - 20) / 15.0, 6) + 0.0 AS x, round(10 + i * (480 - 1 - 20) / 15.0, 6) + 0.0 AS y FROM range(16) a(i), range(16) b(j)")
+def g32_support_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("id")
+    return spark.range(256).select(i.alias("track"), r(g.support_point(i % 16, 16, 640, 640)).alias("x"), r(g.support_point(F.floor(i / 16), 16, 480, 640)).alias("y"))
+
+
+@query("SELECT p_partkey, round(p_retailprice * 2 / least(p_size + 100, 120), 6) + 0.0 AS focal, round(-(p_size - 60.0) * 2 / least(p_size + 100, 120), 6) + 0.0 AS principal FROM part")
+def g34_ndc_camera(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h, w = F.col("p_size") + 100, F.lit(120)
+    return table(spark, sf_dir, "part").select("p_partkey", r(g.ndc_focal(F.col("p_retailprice"), h, w)).alias("focal"), r(g.ndc_principal(F.col("p_size"), w, h, w)).alias("principal"))
+
+
+@query("SELECT event_id, 1 / (1 + exp(-(value - 20))) >= 0.9 AS visible FROM events")
+def m02_visibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", (g.sigmoid(F.col("value") - 20) >= 0.9).alias("visible"))
+
+
+@query("SELECT doc_id, list_transform(list_filter(range(1, len(a) + 1), lambda i: list_position(a, a[i]) = i), lambda i: a[i]) AS letters FROM (SELECT p_partkey AS doc_id, string_split(p_name || ' ' || p_type || ' ' || p_name, ' ') AS a FROM part)")
+def x06_dedupe_keep_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), F.array_distinct(F.split(F.concat_ws(" ", "p_name", "p_type", "p_name"), " ")).alias("letters"))
+
+
+@query("SELECT event_id, 'props.k' AS key, CAST(json_extract(props, '$.k') AS VARCHAR) AS value FROM events UNION ALL SELECT event_id, 'type', event_type FROM events")
+def x13_nested_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    nested = e.select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("k", "value")).select("event_id", F.concat(F.lit("props."), F.col("k")).alias("key"), "value")
+    return nested.unionByName(e.select("event_id", F.lit("type").alias("key"), F.col("event_type").alias("value")))
+
+
+@query(f"""WITH {TR} SELECT clip, track, CAST(step AS INT) AS step, round((9 - x - 2) * 0.5, 6) + 0.0 AS x, round((y - 1) * 0.5, 6) + 0.0 AS y, ['seen', 'flipped'] AS flags FROM tr""")
+def u02_compose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pipeline = transforms.compose([{"name": "flip", "width": 10.0}, {"name": "crop", "left": 2.0, "top": 1.0, "scale": 0.5}, {"name": "add_flag", "flag": "flipped"}])
+    return pipeline(tracks(spark, sf_dir).withColumn("flags", F.array(F.lit("seen")))).select("clip", "track", "step", r("x").alias("x"), r("y").alias("y"), "flags")
+
+
+@query(f"""WITH {TR} SELECT clip, track, CAST(step AS INT) AS step, NOT (step % 2 = 0 AND x >= 0 AND x < 0.3 AND y >= 0 AND y < 0.3) AS visible FROM tr""")
+def u03a_erase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = tracks(spark, sf_dir)
+    boxes = t.select("clip", "step").distinct().filter("step % 2 = 0").select("clip", "step", F.lit(0.0).alias("left"), F.lit(0.0).alias("top"), F.lit(0.3).alias("right"), F.lit(0.3).alias("bottom"))
+    return t.withColumn("visible", F.lit(True)).transform(transforms.erase(boxes)).select("clip", "track", "step", "visible")
+
+
+@query(f"WITH {TR} SELECT clip, track, CAST(step AS INT) AS step, 0.0::DOUBLE AS roi_low, round(max(CASE WHEN x > 0 AND y > 0 THEN x END) OVER (PARTITION BY clip) * 2, 6) + 0.0 AS roi_high FROM tr")
+def u03o_set_roi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = tracks(spark, sf_dir).withColumns({"z": F.col("x"), "valid": F.col("x") > 0, "visible": F.col("y") > 0})
+    return t.transform(transforms.set_roi(2.0)).select("clip", "track", "step", "roi_low", r("roi_high").alias("roi_high"))
+
+
+def _fit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select(F.col("label").alias("clip"), "vec_id", *(F.get("embedding", F.lit(k)).cast("double").alias(n) for k, n in enumerate("abcdef")), (1.0 + F.col("vec_id") % 3).alias("w"))
+
+
+@query()
+def a31_l1_scale_trunc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fitting.truncated_scale(_fit_rows(spark, sf_dir), ["clip"], "a", "b", "w", 0.1).select("clip", r("scale").alias("scale"), r("loss").alias("loss"))
+
+
+@query()
+def a32_l1_affine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fitting.anchored_affine(_fit_rows(spark, sf_dir), ["clip"], "a", "b", "w").select("clip", r("scale").alias("scale"), r("shift").alias("shift"), r("loss").alias("loss"))
+
+
+@query("""WITH q AS (SELECT label AS clip, CAST(embedding[2] AS DOUBLE) - CAST(embedding[1] AS DOUBLE) AS g, 1.0 + vec_id % 3 AS w, vec_id FROM embeddings),
+    c AS (SELECT *, sum(w) OVER (PARTITION BY clip ORDER BY g, vec_id ROWS UNBOUNDED PRECEDING) AS run, sum(w) OVER (PARTITION BY clip) AS total FROM q) SELECT clip, round(min(g), 6) + 0.0 AS shift FROM c WHERE 2 * run >= total GROUP BY clip""")
+def a32_l1_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fitting.weighted_median_shift(_fit_rows(spark, sf_dir), ["clip"], "a", "b", "w", "vec_id").select("clip", r("shift").alias("shift"))
+
+
+@query()
+def a33_irls_affine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fitting.irls_affine(_fit_rows(spark, sf_dir), ["clip"], "a", "b", "w").select("clip", r("scale").alias("scale"), r("shift").alias("shift"))
+
+
+@query()
+def a37_procrustes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fitting.procrustes(_fit_rows(spark, sf_dir), ["clip"], list("abc"), list("def"), "w")
+
+
+@query()
+def j17_nearest_valid_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = _cells(spark, sf_dir).withColumn("d", F.when((F.col("u") + F.col("v")) % 3 != 0, F.col("d")))
+    return fitting.nearest_fill(cells, ["f"], "u", "v", "d").select("f", "u", "v", r("distance").alias("distance"))
+
+
+@query()
+def w17_keyframes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = table(spark, sf_dir, "events").withColumn("h", F.date_trunc("day", "ts"))
+    pairs = matching.covisibility(seen, ["h"], "user_id", "value").withColumn("clip", F.lit(0).cast("long"))
+    return fitting.keyframes(pairs, ["clip"], "i", "j", "weight", 12)
+
+
+@query()
+def g20_camera_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fitting.axes_meeting(_fit_rows(spark, sf_dir), ["clip"], list("abc"), list("def"))
+    return out.select("clip", *(r(c).alias(c) for c in "abc"))
