@@ -204,3 +204,23 @@ def test_progress_monitor(spark, tmp_path):
     run = stream.progress(spark, str(tmp_path / "out")).writeStream.format("memory").queryName("progress").outputMode("complete").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     run.awaitTermination()
     assert {tuple(r) for r in spark.table("progress").collect()} == {("a", 2, 6), ("b", 1, 3)}
+
+
+def test_pose_encoding_round_trip(spark):
+    from tracewright.operators import projection
+
+    turns = [(0.0, 0.0, 0.0), (3.1, 0.0, 0.0), (0.0, 3.1, 0.1), (0.2, -0.1, 3.1), (0.5, -1.0, 0.7)]
+    rows = spark.createDataFrame(turns, "x double, y double, z double")
+    rows = rows.withColumn("q", F.array(*g.quaternion_of_rotvec(F.col("x"), F.col("y"), F.col("z")))).withColumn("m", g.matrix_of_quaternion(*(F.get("q", F.lit(k)) for k in range(4))))
+    w2c = F.array(*(g.at(F.col("m"), 3 * i + j) if j < 3 else F.lit(float(i)) for i in range(3) for j in range(4)), *(F.lit(float(j == 3)) for j in range(4)))
+    rows = rows.withColumns({"a": w2c, "k": g.matrix([500, 0, 320, 0, 480, 240, 0, 0, 1])})
+    rows = rows.withColumn("e", g.pose_encoding(F.col("a"), F.col("k"), 640.0, 480.0))
+    for r in rows.select("a", F.array(*g.pose_of_encoding(F.col("e"), 640.0, 480.0)).alias("b")).collect():
+        assert np.allclose(r.a, r.b[0]) and np.allclose(r.b[1], [500, 0, 320, 0, 480, 240, 0, 0, 1])
+    rng = np.random.default_rng(0)
+    p = rng.normal(0, 1, (50, 3)) + [0, 0, 4]
+    seen = [(0, *map(float, q), 1.7 * q[0] / (q[2] + 0.8), 1.7 * q[1] / (q[2] + 0.8)) for q in p.tolist()]
+    got = projection.focal_and_shift(spark.createDataFrame(seen, "f long, x double, y double, z double, u double, v double"), ["f"]).first()
+    assert got.focal == pytest.approx(1.7, abs=1e-4) and got.shift == pytest.approx(0.8, abs=1e-3)
+    c = spark.createDataFrame([(k % 2, k, 0.4 if k < 15 else 0.9) for k in range(60)], "f long, id long, c double")
+    assert projection.drop_uncertain(c, ["f"], "c").count() == 45 and projection.drop_uncertain(c, ["f"], "c", least=30).count() == 60

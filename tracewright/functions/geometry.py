@@ -221,3 +221,44 @@ def huber(error: Column, delta: float = 1.0) -> Column:
 def cross_entropy(target: Column, logit: Column) -> Column:
     """Of a logit against 0 or 1, in the form that doesn't overflow."""
     return F.greatest(logit, F.lit(0.0)) - logit * target + F.log1p(F.exp(-F.abs(logit)))
+
+
+def quaternion_of_matrix(m: Column) -> Point:
+    """(w, x, y, z) with w >= 0 of a rotation matrix (9), by the largest of the four squared parts."""
+    a, b, c = at(m, 0), at(m, 4), at(m, 8)
+    squares = (1 + a + b + c, 1 + a - b - c, 1 - a + b - c, 1 - a - b + c)
+    ways = (
+        (squares[0], at(m, 7) - at(m, 5), at(m, 2) - at(m, 6), at(m, 3) - at(m, 1)),
+        (at(m, 7) - at(m, 5), squares[1], at(m, 1) + at(m, 3), at(m, 2) + at(m, 6)),
+        (at(m, 2) - at(m, 6), at(m, 1) + at(m, 3), squares[2], at(m, 5) + at(m, 7)),
+        (at(m, 3) - at(m, 1), at(m, 2) + at(m, 6), at(m, 5) + at(m, 7), squares[3]),
+    )
+    largest = F.greatest(*squares)
+    out = []
+    for part in range(4):
+        value = F.lit(None).cast("double")
+        for square, way in reversed(list(zip(squares, ways, strict=True))):
+            sign = F.when(way[0] < 0, -1.0).otherwise(1.0)
+            value = F.when(square == largest, sign * way[part] / (2 * F.sqrt(largest))).otherwise(value)
+        out.append(value)
+    return tuple(out)
+
+
+def pose_encoding(w2c: Column, k: Column, width: float, height: float) -> Column:
+    """Translation, rotation quaternion and fields of view."""
+    rotation = F.array(*(at(w2c, 4 * i + j) for i in range(3) for j in range(3)))
+    t = [at(w2c, 4 * i + 3) for i in range(3)]
+    return F.array(*t, *quaternion_of_matrix(rotation), fov(at(k, 4), height), fov(at(k, 0), width))
+
+
+def pose_of_encoding(e: Column, width: float, height: float) -> tuple[Column, Column]:
+    """(w2c, K) of an encoding, with the principal point in the middle."""
+    r = matrix_of_quaternion(*(at(e, i) for i in range(3, 7)))
+    w2c = F.array(*(at(r, 3 * i + j) if j < 3 else at(e, i) for i in range(3) for j in range(4)), F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0))
+    zero = F.lit(0.0)
+    return w2c, F.array(focal_of_fov(at(e, 8), width), zero, F.lit(width / 2), zero, focal_of_fov(at(e, 7), height), F.lit(height / 2), zero, zero, F.lit(1.0))
+
+
+def normalised_colour(value: Column, mean: float = 0.0, std: float = 1.0) -> Column:
+    """G36."""
+    return (value / 255.0 - mean) / std

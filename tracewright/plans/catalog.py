@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions import geometry as g
 from tracewright.functions import text as x
-from tracewright.operators import depth, fitting, matching, quality, retarget, segments, statistics, transforms
+from tracewright.operators import depth, fitting, matching, projection, quality, retarget, segments, statistics, transforms
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1244,3 +1244,72 @@ def w17_keyframes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def g20_camera_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fitting.axes_meeting(_fit_rows(spark, sf_dir), ["clip"], list("abc"), list("def"))
     return out.select("clip", *(r(c).alias(c) for c in "abc"))
+
+
+@query(f"WITH {CELLS} SELECT f, u // 4 AS u, v // 4 AS v, round(sum(d * (1 + u % 2)) / sum(1 + u % 2), 9) + 0.0 AS d FROM c GROUP BY ALL")
+def g27_resize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weighted = _cells(spark, sf_dir).withColumn("w", (1 + F.col("u") % 2).cast("double"))
+    return projection.shrink(weighted, ["f"], "u", "v", "d", 4, "w").select("f", "u", "v", r("d", 9).alias("d"))
+
+
+@query(f"WITH {CELLS}, n AS (SELECT a.f, a.u, a.v, 1 / a.d AS d, min(1 / b.d) AS low FROM c a JOIN c b ON a.f = b.f AND abs(a.u - b.u) <= 1 AND abs(a.v - b.v) <= 1 GROUP BY a.f, a.u, a.v, a.d) SELECT f, u, v, (d - low) / d > 0.5 AS occludes FROM n")
+def g25_occlusion_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection.occlusion_edges(_cells(spark, sf_dir), ["f"], "u", "v", "d", 0.5)
+
+
+LIFT = f"{CELLS}, q AS (SELECT event_id, user_id % 10 AS f, value AS x, event_id % 40 + 0.25 AS y FROM events WHERE value < 39)"
+
+
+@query(f"WITH {LIFT}, m AS (SELECT event_id, (x - 320) * d / 500 - 0.1 AS a, (y - 240) * d / 480 + 0.2 AS b, d - 3.0 AS z FROM q JOIN c ON q.f = c.f AND c.u = CAST(round_even(x, 0) AS BIGINT) AND c.v = CAST(round_even(y, 0) AS BIGINT) WHERE d > 0) SELECT event_id, round(0.8 * a + 0.6 * b, 9) + 0.0 AS X, round(-0.6 * a + 0.8 * b, 9) + 0.0 AS Y, round(z, 9) + 0.0 AS Z FROM m")
+def g02_unproject_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = table(spark, sf_dir, "events").filter("value < 39").select("event_id", (F.col("user_id") % 10).alias("f"), F.col("value").alias("x"), (F.col("event_id") % 40 + 0.25).alias("y"), g.matrix(K).alias("k"), g.matrix(W2C).alias("w2c"))
+    out = projection.lift_queries(q, _cells(spark, sf_dir).withColumnRenamed("d", "depth"), ["f"])
+    return out.select("event_id", *(r(c, 9).alias(c) for c in "XYZ"))
+
+
+@query(f"WITH {CAM} SELECT vec_id, round((500 * cx + 320 * cz) / (cz + 1e-8), 5) + 0.0 AS u, round(cz, 6) + 0.0 AS z FROM cam")
+def g09_batch_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _points(spark, sf_dir).select("vec_id", (F.col("vec_id") % 4).alias("frame"), *(F.col(c).alias(c.upper()) for c in "xyz"))
+    cameras = spark.range(4).select(F.col("id").alias("frame"), g.matrix(K).alias("k"), g.matrix(W2C).alias("w2c"))
+    return projection.reproject(p, cameras, ["frame"]).select("vec_id", r("u", 5).alias("u"), r("z").alias("z"))
+
+
+@query(f"WITH {PT}, t AS (SELECT vec_id, x, y, z, s AS frame FROM p, range(3) f(s)) SELECT vec_id, frame, round((500 * (0.8 * x - 0.6 * y + 0.1 + frame) + 320 * (z + 3.0)) / (z + 3.0 + 1e-8), 5) + 0.0 AS u, z + 3.0 > 0 AS visible FROM t")
+def g23_track_from_cam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _points(spark, sf_dir).select(F.lit(0).alias("clip"), "vec_id", *(F.col(c).alias(c.upper()) for c in "xyz"))
+    moved = F.transform(g.matrix(W2C), lambda v, i: F.when(i == 3, v + F.col("id")).otherwise(v))
+    cameras = spark.range(3).select(F.lit(0).alias("clip"), F.col("id").alias("frame"), g.matrix(K).alias("k"), moved.alias("w2c"))
+    return projection.static_tracks(p, cameras, ["clip"]).select("vec_id", "frame", r("u", 5).alias("u"), "visible")
+
+
+@query("SELECT CAST(i * 8 + j AS BIGINT) AS track, round_even(j * 639 / 7.0, 0) + 0.0 AS x, round_even(i * 479 / 7.0, 0) + 0.0 AS y, CAST((i * 8 + j) % 12 AS BIGINT) AS frame FROM range(8) a(i), range(8) b(j)")
+def g33_track_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection.track_points(spark, 8, 640, 480, 12, "incremental")
+
+
+@query(f"WITH {PT}, a AS (SELECT *, sqrt(x * x + y * y + z * z) AS t FROM p) SELECT vec_id, round(cos(t / 2), 5) + 0.0 AS w, round(2 * atan(480 / (2 * 480.0)), 6) + 0.0 AS fov_h, round(2 * atan(640 / (2 * 500.0)), 6) + 0.0 AS fov_w FROM a WHERE t < 3")
+def g18_pose_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _points(spark, sf_dir).filter("sqrt(x * x + y * y + z * z) < 3")
+    # a column for each stage: expressions that are used many times must not be written out many times
+    rows = rows.withColumn("q", F.array(*g.quaternion_of_rotvec(*_xyz()))).withColumn("m", g.matrix_of_quaternion(*(F.get("q", F.lit(k)) for k in range(4))))
+    w2c = F.array(*(g.at(F.col("m"), 3 * i + j) if j < 3 else F.lit(0.0) for i in range(3) for j in range(4)), *(F.lit(float(j == 3)) for j in range(4)))
+    rows = rows.withColumns({"w2c": w2c, "k": g.matrix(K)})
+    e = g.pose_encoding(F.col("w2c"), F.col("k"), 640.0, 480.0)
+    return rows.select("vec_id", r(g.at(e, 3), 5).alias("w"), r(g.at(e, 7)).alias("fov_h"), r(g.at(e, 8)).alias("fov_w"))
+
+
+@query("SELECT p_partkey, round((p_size / 255.0 - 0.45) / 0.225, 6) + 0.0 AS value FROM part")
+def g36_normalize_rgb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", r(g.normalised_colour(F.col("p_size"), 0.45, 0.225)).alias("value"))
+
+
+@query()
+def g31_ghost_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection.ghost_points(spark, 2000, "ball", 5)
+
+
+@query()
+def g26_focal_shift_solve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _fit_rows(spark, sf_dir).select("clip", F.col("a").alias("x"), F.col("b").alias("y"), (F.abs("c") + 0.5).alias("z"))
+    seen = p.withColumns({"u": 1.3 * F.col("x") / (F.col("z") + 2), "v": 1.3 * F.col("y") / (F.col("z") + 2)})
+    return projection.focal_and_shift(seen, ["clip"]).select("clip", r("focal", 3).alias("focal"), r("shift", 3).alias("shift"))
