@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only if its materialised table has at most this many rows (of some 100 bytes at most); beyond it the join shuffles.
 BROADCAST_ROWS = 50_000
 #: Arrow batches handed to Python hold at most this many bytes, so that long texts don't pile up in a worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
+BATCH_ROWS = 500
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -38,6 +43,26 @@ def bound_batches(spark: SparkSession) -> None:
     if ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def release() -> None:
+    """Give memory that a Python worker no longer uses back to the system; workers stay for the tasks of later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A partition function that ends with release()."""
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release()
+
+    return whole
 
 
 def _remove(spark: SparkSession, path: str) -> None:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import bound_batches, materialize, small
+from tracewright.llm.common import bound_batches, materialize, small, tidy
 
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (911_382_323, 972_663_749)
@@ -95,7 +95,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     bound_batches(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.sha2(text, 256).alias("text_sha256")).withColumn("row_no", F.monotonically_increasing_id())
-    return rows.mapInArrow(_fingerprint_batches, "doc_id long, row_no long, text_sha256 string, fp long, n_bytes long")
+    return rows.mapInArrow(tidy(_fingerprint_batches), "doc_id long, row_no long, text_sha256 string, fp long, n_bytes long")
 
 
 def assign(docs: DataFrame) -> DataFrame:

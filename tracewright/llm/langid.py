@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import bound_batches, bounded_sample
+from tracewright.llm.common import bound_batches, bounded_sample, release, tidy
 
 PER_LANGUAGE = 4000
-VOCABULARY = 80_000  # words kept, by count
+VOCABULARY = 60_000  # words kept, by count
 MAX_N = 5
 LEAST_GRAM = 3  # occurrences of an n-gram that is kept
-REMEMBERED = 300_000  # words whose scores a worker remembers
+REMEMBERED = 100_000  # words whose scores a worker remembers
 WORDS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
@@ -46,7 +46,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())], names=["lang", "word", "n"])
 
     bound_batches(docs.sparkSession)
-    return docs.select("text", "lang").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return docs.select("text", "lang").mapInArrow(tidy(run), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -147,7 +147,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
 
     bound_batches(docs.sparkSession)
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "lang_pred string, score double"])
-    return docs.select(*(F.col(c).alias(f"k{k}") for k, c in enumerate(keep)), F.col("text")).mapInArrow(run, schema)
+    return docs.select(*(F.col(c).alias(f"k{k}") for k, c in enumerate(keep)), F.col("text")).mapInArrow(tidy(run), schema)
 
 
 def teller(spark: SparkSession, model: Model):
@@ -159,6 +159,8 @@ def teller(spark: SparkSession, model: Model):
         own = Predictor(held.value)
         for batch in texts:
             yield pd.DataFrame([own(t) for t in batch], columns=["lang_pred", "score"])
+        del own
+        release()
 
     bound_batches(spark)
     return tell

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import bound_batches, bounded_sample, materialize, unit_hash
+from tracewright.llm.common import bound_batches, bounded_sample, materialize, tidy, unit_hash
 
 #: Domains of the labelled table in order, the good one first, and their target weights.
 TARGETS = {"good": 0.88, "poor": 0.10, "toxic": 0.02}
@@ -95,7 +95,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_domain: int = PER_DOMAIN) -> Cla
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in own], pa.string()), pa.array([k[1] for k in own], pa.string()), pa.array(list(own.values()), pa.int64())], names=["domain", "word", "n"])
 
     bound_batches(docs.sparkSession)
-    counted = sample.mapInArrow(count, "domain string, word string, n long").groupBy("word").agg(*(F.sum(F.when(F.col("domain") == d, F.col("n")).otherwise(0)).alias(f"n{k}") for k, d in enumerate(domains)))
+    counted = sample.mapInArrow(tidy(count), "domain string, word string, n long").groupBy("word").agg(*(F.sum(F.when(F.col("domain") == d, F.col("n")).otherwise(0)).alias(f"n{k}") for k, d in enumerate(domains)))
     total = sum(F.col(f"n{k}") for k in range(len(domains)))
     share = [F.col(f"n{k}") / F.lit(totals[d]) for k, d in enumerate(domains)]
     telling = F.greatest(*(F.sqrt(total.cast("double")) * s for s in share)) * (1 - F.least(*share) / F.greatest(*share))
@@ -110,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_domain: int = PER_DOMAIN) -> Cla
             x = [model.features(t)[1] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column("domain")], names=["x", "domain"])
 
-    rows = sample.mapInArrow(describe, "x array<double>, domain string").collect()  # the bounded sample
+    rows = sample.mapInArrow(tidy(describe), "x array<double>, domain string").collect()  # the bounded sample
     model.learn(np.array([r.x for r in rows]), np.array([domains.index(r.domain) for r in rows]))
     return model
 
@@ -130,7 +130,7 @@ def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
 
     bound_batches(docs.sparkSession)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "__text"), "__tokens long", *(f"__p{j} double" for j in range(k))])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def solve(members: DataFrame, k: int, targets: list[float], pull: float = PULL, rounds: int = ROUNDS) -> list[tuple[float, ...]]:

@@ -21,17 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import bound_batches
+from tracewright.llm.common import bound_batches, tidy
 
 MAX_LEN = 1024
 END_ID = 0
 #: Token ids of this many distinct words are remembered in a worker, and as many of an older generation.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 #: Texts of these characters, without spaces beside other white space, are cut at spaces: the word rule of byte-level vocabularies has a boundary
 #: before each. Other texts, and those with the vocabulary's own special string, go to the tokenizer whole.
 OTHER = re.compile(r"[^\t-\r -~À-ÖØ-öø-ɏ]| \s|\s ")
 SPECIAL = "<|endoftext|>"
-LONG = 64  # words longer than this are not remembered
+LONG = 32  # words longer than this are not remembered
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -128,5 +128,5 @@ def pack(docs: DataFrame, tokenizer: str, max_len: int = MAX_LEN, tokens: bool =
 
     bound_batches(docs.sparkSession)
     schema = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long" + ", ids array<int>" * tokens
-    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(run, schema)
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(tidy(run), schema)
     return packed.withColumns({"bucket": F.col("length"), "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})

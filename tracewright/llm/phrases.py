@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import bound_batches
+from tracewright.llm.common import bound_batches, tidy
 
 LEVELS = (2, 3)
 BINS = 64
@@ -134,7 +134,7 @@ def fingerprint_texts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(written(sketches([t or "" for t in batch.column("text").to_pylist()])), pa.string())], names=["doc_id", "fingerprint"])
 
     bound_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fingerprint string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, fingerprint string")
 
 
 def successors(docs: DataFrame) -> DataFrame:
@@ -198,4 +198,4 @@ def compare_edited(docs: DataFrame) -> DataFrame:
                 held = held[-1:]
 
     bound_batches(docs.sparkSession)
-    return successors(docs).mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return successors(docs).mapInArrow(tidy(run), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import bound_batches, materialize, small
+from tracewright.llm.common import bound_batches, materialize, small, tidy
 
 BITS = 64
 SEED = 42
@@ -85,7 +85,7 @@ def fingerprints(docs: DataFrame, width: int, prints: int = 1) -> DataFrame:
 
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(run, "doc_id long, text_hash long, " + ", ".join(f"{n} long" for n in names))
+    return rows.mapInArrow(tidy(run), "doc_id long, text_hash long, " + ", ".join(f"{n} long" for n in names))
 
 
 def ring(segments: int) -> list[tuple[int, int]]:
@@ -221,7 +221,7 @@ def file_nodes(nodes: DataFrame, segments: int, distance: int) -> DataFrame:
                 at, keys, near = filed(fps, segments, distance)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part.column("rep").to_numpy(zero_copy_only=False)[at]), pa.array(fps[at].view(np.int64)), pa.array(~near)], names=["key", "rep", "fp", "home"])
 
-    return nodes.select("rep", "fp").mapInArrow(file, "key long, rep long, fp long, home boolean")
+    return nodes.select("rep", "fp").mapInArrow(tidy(file), "key long, rep long, fp long, home boolean")
 
 
 def bucket_links(rows: DataFrame, segments: int, distance: int) -> DataFrame:
@@ -250,7 +250,7 @@ def bucket_links(rows: DataFrame, segments: int, distance: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(far), pa.array(near)], names=["a", "b"])
 
     dealt = rows.repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(link, "a long, b long")
+    return dealt.mapInArrow(tidy(link), "a long, b long")
 
 
 def centre_links(nodes: DataFrame, distance: int) -> DataFrame:
@@ -267,7 +267,7 @@ def centre_links(nodes: DataFrame, distance: int) -> DataFrame:
 
     if distance % 2:
         raise ValueError("dense segments need an even distance")
-    spread = lambda: nodes.select("rep", "fp").mapInArrow(centres, "centre long, rep long")
+    spread = lambda: nodes.select("rep", "fp").mapInArrow(tidy(centres), "centre long, rep long")
     least = materialize(spread().groupBy("centre").agg(F.min("rep").alias("least"), F.count("*").alias("n")).filter("n > 1").select("centre", "least"))
     return spread().join(least, "centre").filter("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
 
@@ -304,7 +304,7 @@ def contract(edges: DataFrame, n_edges: int) -> DataFrame:
             far, near = stars(np.arange(len(a)), np.arange(len(a), 2 * len(a)), np.concatenate([a, b]))
             yield pa.RecordBatch.from_arrays([pa.array(far), pa.array(near)], names=["u", "v"])
 
-    return edges.coalesce(-(-max(1, n_edges) // EDGES_PER_TASK)).mapInArrow(run, "u long, v long")
+    return edges.coalesce(-(-max(1, n_edges) // EDGES_PER_TASK)).mapInArrow(tidy(run), "u long, v long")
 
 
 def components(edges: DataFrame) -> DataFrame:
