@@ -95,3 +95,45 @@ def test_dedup_keeps_one_of_each_class(spark, odd_docs):
 
 def test_segments_grow_with_the_table():
     assert [s.segments_for(n, 4) for n in (100, 200_000, 1_000_000, 100_000_000, 10**11)] == [5, 5, 4, 3, 2]
+
+
+def brute_kept(docs, width=5, least=0.8):
+    sets = [set(s.shingle_hashes(t, width)) for _, t in docs]
+    root = list(range(len(docs)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if 10 * len(sets[i] & sets[j]) >= 10 * least * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [docs[i] for i in range(len(docs)) if find(i) == i]
+
+
+def edited(rng, words, edits):
+    out = list(words)
+    for k in rng.sample(range(len(out)), edits):
+        out[k] = f"e{rng.getrandbits(40)}"
+    return out
+
+
+@pytest.mark.parametrize("crowd", [32, 4])
+def test_dedup_is_by_likeness(spark, monkeypatch, crowd):
+    """Pairs on both sides of the limit, and a crowd of copies of copies whose ends are unlike."""
+    monkeypatch.setattr(s, "CROWD", crowd)
+    rng = random.Random(4)
+    texts = []
+    for k in range(60):
+        base = [f"w{rng.randint(0, 4000)}" for _ in range(200)]
+        texts += [base, edited(rng, base, 2 + k % 9)]  # likenesses of some 0.95 to 0.6
+    chain = [f"w{rng.randint(0, 4000)}" for _ in range(200)]
+    for _ in range(40):
+        texts.append(chain)
+        chain = edited(rng, chain, 3)
+    rng.shuffle(texts)
+    docs = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    assert [tuple(r) for r in s.dedup(spark.createDataFrame(docs, "doc_id long, text string")).orderBy("doc_id").collect()] == brute_kept(docs)

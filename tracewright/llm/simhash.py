@@ -19,6 +19,7 @@ empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 
@@ -41,6 +42,10 @@ KEY_BITS = 40  # of a key, for the value; the segment's number stands above
 FOREST = 512  # runs longer than this are searched breadth first
 EDGES_PER_TASK = 1 << 20
 PAIRS = 1 << 19  # pairs of short runs looked at at once
+#: `dedup` finds candidates by so many independent fingerprints, and keeps apart what is less alike than this.
+PRINTS = 10
+LIKENESS = 0.8
+CROWD = 32  # linked texts of a batch of buckets up to which all their pairs are candidates at once
 
 
 def shingle_hashes(text: str, width: int) -> list[int]:
@@ -66,7 +71,14 @@ def fingerprint(text: str | None, width: int, prints: int = 1) -> list[int]:
     hashes = shingle_hashes(text or "", width)
     if not hashes:
         return [0] * prints
-    values, out = np.array(hashes, dtype="<u8"), []
+    return mixed_bits(np.array(hashes, dtype="<u8"), prints)
+
+
+def mixed_bits(values: np.ndarray, prints: int) -> list[int]:
+    """The fingerprints of values; the further ones are of the values mixed anew."""
+    if not len(values):
+        return [0] * prints
+    out = []
     for _ in range(prints):
         out.append(_bits(values))
         values = (values ^ (values >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
@@ -224,27 +236,31 @@ def file_nodes(nodes: DataFrame, segments: int, distance: int) -> DataFrame:
     return nodes.select("rep", "fp").mapInArrow(tidy(file), "key long, rep long, fp long, home boolean")
 
 
+def _whole_runs(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[list[np.ndarray]]:
+    """The columns of sorted rows, cut where the first one, the key, changes."""
+    held: list[np.ndarray] | None = None
+    for batch in itertools.chain(batches, (None,)):
+        columns = None if batch is None else [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
+        if columns is not None and held is not None:
+            columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
+        elif columns is None:
+            columns = held
+        if columns is None or not len(columns[0]):
+            continue
+        if batch is None:
+            whole, held = columns, None
+        else:  # the last run may go on in the next batch
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
+            whole, held = [c[:cut] for c in columns], [c[cut:] for c in columns]
+        if len(whole[0]):
+            yield whole
+
+
 def bucket_links(rows: DataFrame, segments: int, distance: int) -> DataFrame:
     """Links (a, b) between filed nodes that share a key."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
-        for batch in itertools.chain(batches, (None,)):
-            columns = None if batch is None else [batch.column(n).to_numpy(zero_copy_only=False) for n in ("key", "rep", "fp", "home")]
-            if columns is not None and held is not None:
-                columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
-            elif columns is None:
-                columns = held
-            if columns is None or not len(columns[0]):
-                continue
-            if batch is None:
-                whole, held = columns, None
-            else:  # the last run may go on in the next batch
-                cut = int(np.searchsorted(columns[0], columns[0][-1]))
-                whole, held = [c[:cut] for c in columns], [c[cut:] for c in columns]
-            if not len(whole[0]):
-                continue
-            keys, reps, fps, home = whole
+        for keys, reps, fps, home in _whole_runs(batches, ("key", "rep", "fp", "home")):
             i, j = run_links(keys, fps.view(np.uint64), home.astype(bool), segments, distance)
             far, near = stars(i, j, reps)
             yield pa.RecordBatch.from_arrays([pa.array(far), pa.array(near)], names=["a", "b"])
@@ -362,12 +378,132 @@ def classes(docs: DataFrame, width: int = 4, distance: int = DISTANCE, dense: in
     return out.select("doc_id", "text_hash", "fp", F.when(F.col("component_id") != largest, F.col("component_id")).alias("component_id"))
 
 
-def dedup(docs: DataFrame, width: int = 5, distance: int = 8, prints: int = 3) -> DataFrame:
-    """One row of each class, the one with the smallest doc_id, with all columns."""
-    key = lambda text_hash: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text_hash.cast("string"))
-    found = classes(docs, width, distance, prints=prints)
-    dropped = materialize(found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key(F.col("text_hash")).alias("__key")).distinct())
-    return docs.withColumn("__key", key(F.xxhash64("text"))).join(small(dropped), "__key", "left_anti").select(*docs.columns)
+def near_pairs(texts: DataFrame, n_texts: int, distance: int) -> DataFrame:
+    """Pairs (a, b) of texts (rep, fp) within the distance, and whether they are crowded.
+
+    Of what links in a batch of buckets, components of at most CROWD texts give all their pairs; larger ones give stars to their smallest, marked
+    as crowded: their other pairs are left to `crowd_pairs`."""
+    segments = segments_for(n_texts, distance)
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, reps, fps, home in _whole_runs(batches, ("key", "rep", "fp", "home")):
+            i, j = run_links(keys, fps.view(np.uint64), home.astype(bool), segments, distance)
+            i, j = i[reps[i] != reps[j]], j[reps[i] != reps[j]]
+            if not len(i):
+                continue
+            far, root = stars(i, j, reps)
+            roots, size = np.unique(root, return_counts=True)
+            big = roots[size >= CROWD]
+            crowded = np.isin(root, big)
+            one = ~np.isin(reps[i], np.concatenate([far[crowded], big]))
+            x, y = reps[i[one]], reps[j[one]]
+            pairs = np.unique(np.column_stack([np.maximum(x, y), np.minimum(x, y)]), axis=0)
+            left, right = np.concatenate([pairs[:, 0], far[crowded]]), np.concatenate([pairs[:, 1], root[crowded]])
+            yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.array(np.arange(len(left)) >= len(pairs))], names=["a", "b", "crowded"])
+
+    dealt = file_nodes(texts, segments, distance).repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(tidy(link), "a long, b long, crowded boolean")
+
+
+def crowd_pairs(texts: DataFrame, n_texts: int, distance: int) -> DataFrame:
+    """All pairs (a, b) of texts (rep, fp, label) within the distance and of different labels."""
+    segments = segments_for(n_texts, distance)
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, reps, fps, home, labels in _whole_runs(batches, ("key", "rep", "fp", "home", "label")):
+            fps, home = fps.view(np.uint64), home.astype(bool)
+            edges = np.nonzero(np.diff(keys))[0] + 1
+            for first, last in zip(np.concatenate(([0], edges)).tolist(), np.concatenate((edges, [len(keys)])).tolist(), strict=True):
+                _, place, size = np.unique(labels[first:last], return_inverse=True, return_counts=True)
+                if len(size) < 2:
+                    continue
+                order = first + np.lexsort((place, size[place]))  # the largest label last: its texts need not be compared with each other
+                own, which = labels[order], int(keys[first]) >> KEY_BITS
+                for k in range(len(order) - int(size.max())):
+                    can = order[k + 1 :][own[k + 1 :] != own[k]]
+                    can = can if home[order[k]] else can[home[can]]
+                    hit = can[_linked(np.full(len(can), fps[order[k]]), fps[can], which, segments, distance)]
+                    if len(hit):
+                        x, y = np.full(len(hit), reps[order[k]]), reps[hit]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], names=["a", "b"])
+
+    filed_rows = file_nodes(texts, segments, distance).join(texts.select("rep", "label"), "rep").select("key", "rep", "fp", "home", "label")
+    return filed_rows.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(link), "a long, b long")
+
+
+def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
+    """(rep, hashes) of texts (rep, text): the distinct shingles' values."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(np.array(shingle_hashes(t or "", width), dtype=np.uint64)).view(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(found, pa.list_(pa.int64()))], names=["rep", "hashes"])
+
+    bound_batches(texts.sparkSession)
+    return texts.select("rep", "text").mapInArrow(tidy(run), "rep long, hashes array<long>")
+
+
+def alike(pairs: DataFrame, texts: DataFrame, keyed: DataFrame, width: int, likeness: float) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles have a Jaccard likeness of at least `likeness`.
+
+    texts: rep, __h1, __h2 and n, the size of the set. keyed: __h1, __h2 and text, any rows of those texts."""
+    sizes = texts.select("rep", "n")
+    sized = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+    fit = materialize(sized.filter(F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(likeness - 1e-9)))  # no others can be so alike
+    needed = materialize(fit.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(texts.select("rep", "__h1", "__h2"), "rep"))
+    sets = materialize(shingle_sets(keyed.join(small(needed), ["__h1", "__h2"]).select("rep", "text"), width).dropDuplicates(["rep"]))
+    both = fit.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b").withColumn("shared", F.size(F.array_intersect("ha", "hb")))
+    return both.filter(F.col("shared") >= (F.col("na") + F.col("nb") - F.col("shared")) * F.lit(likeness) - F.lit(1e-6)).select("a", "b")
+
+
+def _labelled(texts: DataFrame, edges: DataFrame) -> DataFrame:
+    found = materialize(components(edges))
+    return materialize(texts.join(small(found), texts["rep"] == found["node"], "left").select(*texts.columns, F.coalesce("root", "rep").alias("label")))
+
+
+def near_classes(docs: DataFrame, width: int, distance: int, prints: int, likeness: float) -> tuple[DataFrame, DataFrame]:
+    """The distinct texts (__h1, __h2, least doc_id, rows, rep, label: the class) and docs with __h1, __h2 added.
+
+    Candidates are pairs within the distance in any of the fingerprints; each is held against the exact likeness of the sets of shingles, and the
+    classes are the components of the pairs that pass. Texts are named by a number of their own, so that null and repeated doc_ids don't matter."""
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.withColumns({"__h1": F.xxhash64(text), "__h2": F.xxhash64(F.lit("second"), text)})
+    names = [f"fp{k}" for k in range(prints)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(np.array(shingle_hashes(t, width), dtype="<u8")) for t in batch.column("text").to_pylist()]
+            found = np.array([mixed_bits(x, prints) for x in sets], dtype=np.uint64).reshape(-1, prints).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "__h1", "__h2")), pa.array([len(x) for x in sets], pa.int64()), *(pa.array(found[:, k]) for k in range(prints))], names=["doc_id", "__h1", "__h2", "n", *names])
+
+    bound_batches(docs.sparkSession)
+    rows = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "__h1", "__h2", text.alias("text")).mapInArrow(tidy(run), "doc_id long, __h1 long, __h2 long, n long, " + ", ".join(f"{c} long" for c in names))
+    grouped = rows.groupBy("__h1", "__h2").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"), *(F.first(c).alias(c) for c in ("n", *names)))
+    texts = materialize(grouped.withColumn("rep", F.monotonically_increasing_id()))  # written once, so the numbers stay
+    n_texts = texts.count()
+    source = keyed.select("__h1", "__h2", "text")
+    parts = [materialize(near_pairs(texts.select("rep", F.col(c).alias("fp")), n_texts, distance)) for c in names]
+    pairs = functools.reduce(DataFrame.unionByName, parts)
+    edges = materialize(alike(materialize(pairs.select("a", "b").distinct()), texts, source, width, likeness))
+    crowd = materialize(pairs.filter("crowded").select(F.explode(F.array("a", "b")).alias("rep")).distinct())
+    n_crowd = crowd.count()
+    if n_crowd:
+        left = _labelled(texts.join(small(crowd, n_crowd), "rep", "left_semi"), edges)
+        further = [materialize(crowd_pairs(left.select("rep", F.col(c).alias("fp"), "label"), n_crowd, distance)) for c in names]
+        more = materialize(functools.reduce(DataFrame.unionByName, further).distinct())
+        edges = edges.unionByName(materialize(alike(more, texts, source, width, likeness)))
+    return _labelled(texts.select("__h1", "__h2", "least", "rows", "rep"), edges), keyed
+
+
+def dedup(docs: DataFrame, width: int = 5, distance: int = 8, prints: int = PRINTS, likeness: float = LIKENESS) -> DataFrame:
+    """One row of each class of near copies, the one with the smallest doc_id (null ids come last), with all columns."""
+    texts, keyed = near_classes(docs, width, distance, prints, likeness)
+    classes_of = texts.groupBy("label").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "rep")).alias("keep"), F.sum("rows").alias("all")).filter("all > 1")
+    touched = materialize(texts.join(classes_of, "label").select("__h1", "__h2", "least", (F.col("keep.rep") == F.col("rep")).alias("kept")))
+    kept = materialize(touched.filter("kept").select("__h1", "__h2", F.col("least").alias("__least")))
+    others = keyed.join(small(touched.select("__h1", "__h2")), ["__h1", "__h2"], "left_anti")
+    one = keyed.join(small(kept), ["__h1", "__h2"]).filter(F.col("doc_id").cast("long").eqNullSafe(F.col("__least"))).dropDuplicates(["__h1", "__h2"])
+    return others.select(*docs.columns).unionByName(one.select(*docs.columns))
 
 
 def fingerprint_text(fp: str = "fp"):
