@@ -137,3 +137,16 @@ def test_dedup_is_by_likeness(spark, monkeypatch, crowd):
     rng.shuffle(texts)
     docs = [(k, " ".join(t)) for k, t in enumerate(texts)]
     assert [tuple(r) for r in s.dedup(spark.createDataFrame(docs, "doc_id long, text string")).orderBy("doc_id").collect()] == brute_kept(docs)
+
+
+def test_ids_join_nothing(spark):
+    """Different texts under null and repeated ids, one of which links to a text of another id."""
+    rng = random.Random(5)
+    base = [" ".join(f"w{rng.randint(0, 4000)}" for _ in range(300)) for _ in range(12)]
+    docs = [(None, t) for t in base[:5]] + [(7, t) for t in base[5:9]] + [(12, base[0] + " x"), (13, base[1] + " y"), (3, base[5] + " z"), (20, base[9]), (None, base[10]), (None, base[10] + " q")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    fps = [brute_fp(t, 4) for _, t in docs]
+    want = sorted(zip([d for d, _ in docs], fps, brute_roots([d for d, _ in docs], fps, 8), strict=True), key=str)
+    assert sorted(((r.doc_id, r.fp & (2**64 - 1), r.component_id) for r in s.classes(df, distance=8).collect()), key=str) == want
+    kept = sorted(((r.doc_id, r.text) for r in s.dedup(df).collect()), key=str)
+    assert len(kept) == 11 and set(kept) > {docs[k] for k in (2, 3, 4, 6, 7, 8, 9, 10, 11, 12)} and sum(t.startswith(base[10]) for _, t in kept) == 1

@@ -86,18 +86,17 @@ def mixed_bits(values: np.ndarray, prints: int) -> list[int]:
     return out
 
 
-def fingerprints(docs: DataFrame, width: int, prints: int = 1) -> DataFrame:
-    """doc_id, a hash of the text, and fp, fp1, ... (the 64 bits as signed numbers) of each row; no shuffle."""
-    names = ["fp", *(f"fp{k}" for k in range(1, prints))]
+def fingerprints(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, a hash of the text, and fp (the 64 bits as a signed number) of each row; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, width, prints) for t in batch.column("text").to_pylist()], dtype=np.uint64).reshape(-1, prints).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), *(pa.array(found[:, k]) for k in range(prints))], names=["doc_id", "text_hash", *names])
+            found = np.array([fingerprint(t, width)[0] for t in batch.column("text").to_pylist()], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(found)], names=["doc_id", "text_hash", "fp"])
 
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(tidy(run), "doc_id long, text_hash long, " + ", ".join(f"{n} long" for n in names))
+    return rows.mapInArrow(tidy(run), "doc_id long, text_hash long, fp long")
 
 
 def ring(segments: int) -> list[tuple[int, int]]:
@@ -351,31 +350,17 @@ def _star_rounds(now: DataFrame) -> DataFrame:
     return now.groupBy("u").agg(F.min("v").alias("v"))
 
 
-def classes(docs: DataFrame, width: int = 4, distance: int = DISTANCE, dense: int = DENSE, prints: int = 1) -> DataFrame:
+def classes(docs: DataFrame, width: int = 4, distance: int = DISTANCE, dense: int = DENSE) -> DataFrame:
     """doc_id, text_hash, fp, component_id (the smallest doc_id reachable) of every row.
 
-    With more than one fingerprint, rows link if any of them are within the distance: that finds more of the texts whose likeness is at the limit."""
-    largest = (1 << 63) - 1
-    rows = materialize(fingerprints(docs, width, prints).withColumn("own", F.coalesce("doc_id", F.lit(largest))))
-    if prints == 1:
-        nodes = materialize(rows.groupBy("fp").agg(F.min("own").alias("rep")))
-        found = materialize(components(links(nodes, nodes.count(), distance, dense)))
-        named = materialize(nodes.join(small(found), nodes["rep"] == found["node"], "left").select("fp", F.coalesce("root", "rep").alias("component_id")))
-        out = rows.join(small(named), "fp")
-    else:
-        names = ["fp", *(f"fp{k}" for k in range(1, prints))]
-        texts = materialize(rows.groupBy(*names).agg(F.min("own").alias("rep")))  # equal fingerprints throughout: one class already
-        edges = None
-        for n in names:
-            nodes = materialize(texts.groupBy(F.col(n).alias("fp")).agg(F.min("rep").alias("rep")))
-            near = links(nodes, nodes.count(), distance, dense)
-            equal = texts.select(F.col(n).alias("fp"), F.col("rep").alias("a")).join(nodes.withColumnRenamed("rep", "b"), "fp").filter("a <> b").select("a", "b")
-            more = materialize(near.unionByName(equal))
-            edges = more if edges is None else edges.unionByName(more)
-        found = materialize(components(edges))
-        named = materialize(texts.join(small(found), texts["rep"] == found["node"], "left").select(*names, F.coalesce("root", "rep").alias("component_id")))
-        out = rows.join(small(named), names)
-    return out.select("doc_id", "text_hash", "fp", F.when(F.col("component_id") != largest, F.col("component_id")).alias("component_id"))
+    Nodes are named by their fingerprint: a null or repeated doc_id joins nothing."""
+    rows = materialize(fingerprints(docs, width))
+    nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("rep", F.col("fp")))
+    found = materialize(components(links(nodes.select("rep", "fp"), nodes.count(), distance, dense)))
+    rooted = materialize(nodes.join(small(found), nodes["rep"] == found["node"], "left").select("fp", "least", F.coalesce("root", "rep").alias("root")))
+    ids = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")))  # nulls only where all are null
+    named = materialize(rooted.join(small(ids), "root").select("fp", "component_id"))
+    return rows.join(small(named), "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
 def near_pairs(texts: DataFrame, n_texts: int, distance: int) -> DataFrame:
