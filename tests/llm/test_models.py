@@ -125,6 +125,24 @@ def test_rates_are_brute_force(spark, monkeypatch):
     assert np.allclose((long * tokens) @ p, targets, rtol=0.05, atol=0.01 * sum(targets))
 
 
+@pytest.mark.parametrize("sharp", [None, 3.0])
+def test_every_domain_meets_its_own_target(spark, sharp):
+    """A domain of 0.4 % aimed at 2 %, as rates and as copies; hard and soft membership."""
+    rng = np.random.default_rng(6)
+    n, share = 20_000, [0.886, 0.11, 0.004]
+    p = np.eye(3)[rng.choice(3, n, p=share)]
+    if sharp:
+        p = np.exp(p * sharp + rng.normal(size=p.shape)) * share
+        p /= p.sum(axis=1, keepdims=True)
+    tokens = rng.integers(1, 400, n)
+    rows = spark.createDataFrame([(k, int(t), *map(float, x)) for k, (t, x) in enumerate(zip(tokens, p, strict=True))], "doc_id long, __tokens long, __p0 double, __p1 double, __p2 double")
+    targets = [float(tokens @ p[:, 0]) / 0.88 * w for w in (0.88, 0.10, 0.02)]
+    rated = mixing.with_rates(rows, 3, mixing.solve(rows, 3, targets, close=mixing.CLOSE)).withColumn("copies", mixing.copies_of(F.col("rate"), "doc_id"))
+    for column, near in (("rate", 0.002), ("copies", 0.04)):
+        sums = rated.agg(*(F.sum(F.col(column) * F.col("__tokens") * F.col(f"__p{j}")) for j in range(3))).first()
+        assert np.allclose(sums, targets, rtol=near, atol=0)
+
+
 def test_mixing_odd_tables(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, domain string")
     assert mixing.mix(odd_docs, none).count() == odd_docs.count()

@@ -1,12 +1,12 @@
 """Mixing to target weights with soft membership.
 
 A classifier fitted on the labelled table predicts each document's posterior over the domains. Rates r >= 0 are then found for which the
-expected tokens of each domain, the sum of r * tokens * posterior, match the targets in the least-squares sense, with a small pull towards r = 1:
-projected gradient with momentum, whose gradient needs one number a domain, summed over the whole table in each round. A round only adds
-column expressions; the rates are written to the shared folder every few rounds, which cuts the lineage.
+expected tokens of each domain, the sum of r * tokens * posterior, match the targets in the least-squares sense, from r = 1 on: projected gradient
+with momentum, whose gradient needs one number a domain, summed over the whole table in each round. Each domain's error is weighted by one over
+its share of the tokens, so that small domains settle as fast as large ones; rounds end when every domain is within CLOSE of its own target. A
+round only adds column expressions; the rates are written to the shared folder every few rounds, which cuts the lineage.
 
-Documents are then repeated floor(rate + u) times, with u from a hash of the row, so the expected number of copies is the rate; rates within SNAP of 1
-count as 1, so that what needs no change gets none. Without a budget of tokens the first domain (the good one) sets it: its tokens keep their
+Documents are then repeated floor(rate + u) times, with u from a hash of the row, so the expected number of copies is the rate. Without a budget of tokens the first domain (the good one) sets it: its tokens keep their
 number, and the others are thinned or repeated around it.
 
 The classifier reads a bounded sample (PER_DOMAIN labelled rows of each domain). Null and empty texts have no tokens, and rate 1. Repeated rows
@@ -31,10 +31,10 @@ from tracewright.llm.common import bound_batches, bounded_sample, materialize, t
 TARGETS = {"good": 0.88, "poor": 0.10, "toxic": 0.02}
 PER_DOMAIN = 3000
 VOCABULARY = 3000  # words that tell domains apart
-ROUNDS = 48
+ROUNDS = 200  # at most
 WRITE_EVERY = 12
-PULL = 0.01
-SNAP = 0.1
+PULL = 0.0  # towards a rate of 1; any is a bias against the targets
+CLOSE = 0.001  # of a domain's own target
 CLASSES = tuple(bytes(x) for x in ([*range(97, 123)], [*range(65, 91)], [*range(48, 58)], [*b"#$%&*|<>{}[]~^=+"], [*b".,;:!?"], [*b"\n"]))
 
 
@@ -133,20 +133,29 @@ def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
     return docs.mapInArrow(tidy(run), schema)
 
 
-def solve(members: DataFrame, k: int, targets: list[float], pull: float = PULL, rounds: int = ROUNDS) -> list[tuple[float, ...]]:
-    """The gradients' history for rows (__tokens, __p0, ...): one (momentum, slope of each domain) a round, from which `rate_of` gives any row's rate."""
+def solve(members: DataFrame, k: int, targets: list[float], pull: float = PULL, rounds: int = ROUNDS, close: float | None = None) -> list[tuple[float, ...]]:
+    """The gradients' history for rows (__tokens, __p0, ...): one (momentum, slope of each domain) a round, from which `rate_of` gives any row's rate.
+
+    With `close`, domains are weighted by one over their share of the tokens, and rounds end when all are that close to their targets."""
     total = float(members.agg(F.sum("__tokens")).first()[0] or 0)
     wanted = sum(targets)
     if not total or not wanted:
         return []
     ratio = total / wanted
     step = 1.0 / (ratio * ratio + pull)
+    weights = [1.0] * k
     history: list[tuple[float, ...]] = []
     now = members.withColumns({"__r": F.lit(1.0), "__y": F.lit(1.0)})
     speed = 1.0
     for t in range(rounds):
         sums = now.agg(*(F.sum(F.col("__y") * F.col("__tokens") * F.col(f"__p{j}")).alias(f"s{j}") for j in range(k))).first()
-        errors = [(s - g) / wanted for s, g in zip(sums, targets, strict=True)]
+        if close is not None:
+            if not t:  # at first every rate is 1
+                weights = [total / s if s else 0.0 for s in sums]
+            if all(abs(s - g) <= close * (g or wanted) for s, g, w in zip(sums, targets, weights, strict=True) if w):
+                history.append((0.0, 0.0, *([0.0] * k)))  # the rates are those just summed
+                break
+        errors = [w * (s - g) / wanted for s, g, w in zip(sums, targets, weights, strict=True)]
         following = (1 + (1 + 4 * speed * speed) ** 0.5) / 2
         entry = ((speed - 1) / following, step * pull, *(step * ratio * e for e in errors))
         speed = following
@@ -194,7 +203,7 @@ def _rated(docs: DataFrame, labels: DataFrame, targets: dict[str, float], budget
     if budget is None:
         own = float(members.agg(F.sum(F.col("__tokens") * F.col("__p0"))).first()[0] or 0)
         budget = own / (weights[0] / sum(weights)) if weights[0] else 0.0
-    history = solve(members, k, [budget * w / sum(weights) for w in weights])
+    history = solve(members, k, [budget * w / sum(weights) for w in weights], close=CLOSE)
     columns = [c for c in docs.columns if c != "__text"]
     return with_rates(posteriors(docs.select(*columns, "__text"), model), k, history), model.domains
 
@@ -206,7 +215,7 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
 
 
 def copies_of(rate: Column, *key: str) -> Column:
-    return F.when(F.abs(rate - 1) <= SNAP, 1).otherwise(F.floor(rate + unit_hash(*(F.col(c) for c in key), salt="mix"))).cast("int")
+    return F.floor(rate + unit_hash(*(F.col(c) for c in key), salt="mix")).cast("int")
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, budget: float | None = None) -> DataFrame:
