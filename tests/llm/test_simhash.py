@@ -150,3 +150,49 @@ def test_ids_join_nothing(spark):
     assert sorted(((r.doc_id, r.fp & (2**64 - 1), r.component_id) for r in s.classes(df, distance=8).collect()), key=str) == want
     kept = sorted(((r.doc_id, r.text) for r in s.dedup(df).collect()), key=str)
     assert len(kept) == 11 and set(kept) > {docs[k] for k in (2, 3, 4, 6, 7, 8, 9, 10, 11, 12)} and sum(t.startswith(base[10]) for _, t in kept) == 1
+
+
+@pytest.mark.parametrize("distance", [8, 5])
+def test_dense_values_beyond_the_centres(spark, monkeypatch, distance):
+    monkeypatch.setattr(s, "SHARED", 0)
+    fps = planted(500, distance)
+    nodes = spark.createDataFrame([(k, x - (1 << 64) if x >> 63 else x) for k, x in enumerate(fps)], "rep long, fp long")
+    got = {r.node: r.root for r in s.components(s.links(nodes, len(fps), distance, 30)).collect()}
+    assert [got.get(k, k) for k in range(len(fps))] == brute_roots(list(range(len(fps))), fps, distance)
+
+
+def test_a_text_is_filed_a_fixed_number_of_times():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 5, 300, 20_000):
+        assert s.bands_of(rng.integers(0, 1 << 63, n, dtype=np.uint64)).shape == (s.BANDS,)
+
+
+def test_blocks_find_pairs_at_the_limit():
+    """Share of pairs at a likeness of 0.8 that some band and the full check let through."""
+    rng, found = np.random.default_rng(2), 0
+    for _ in range(400):
+        x = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+        y = np.concatenate([x[:178], rng.integers(0, 1 << 63, 22, dtype=np.uint64)])  # 178 of 222
+        near = s._near(np.array([s._bits(x)], np.uint64), np.array([s._bits(y)], np.uint64), s.NEAR_SEGMENTS, s.NEAR)[0]
+        found += bool(near and (s.bands_of(x) == s.bands_of(y)).any())
+    assert found >= 0.97 * 400
+
+
+def test_chains_of_the_ring_lose_nothing():
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    b = a.copy()
+    for k in range(len(b)):
+        for bit in rng.choice(64, rng.integers(0, 30), replace=False).tolist():
+            b[k] ^= np.uint64(1 << bit)
+    assert (s._near(a, b, 4, 18) == (np.bitwise_count(a ^ b) <= 18)).all()
+
+
+@pytest.mark.parametrize("size", [3, 50])
+def test_any_two_rows_of_a_key_share_a_part(spark, size):
+    rows = s.in_chunks(spark.createDataFrame([(k % 3 if k < 40 else 9, k) for k in range(100)], "key long, rep long"), "key", size).collect()
+    parts = {}
+    for r in rows:
+        parts.setdefault((r.key, r.rep), set()).add(r.part)
+    keys = list(parts)
+    assert all(parts[a] & parts[b] for a in keys for b in keys if a[0] == b[0])

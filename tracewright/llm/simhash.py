@@ -13,13 +13,18 @@ task links is reported as stars to the smallest of each component, never as all
 bucket; all that meet it are linked exactly by another way: each is filed under every fingerprint within distance t / 2 of it, and all under one such centre
 are within t of each other, so a star to the smallest is made of true links only and no bucket grows with the square of its size.
 
-Null and empty texts have the fingerprint zero and link like any other. Repeated rows share their class; a null doc_id counts as largest. An
-empty table gives an empty result; further columns are ignored.
+`dedup` asks for likeness of the sets of shingles (Jaccard), at which some ten of 64 bits differ: too many to file every text under all segment
+values near its own. Texts are filed under BANDS values instead, each made of ROWS of their min-hashes, whatever the size of the table; within a
+block the ring's chains prune pairs before the full Hamming check at NEAR bits. The components of what passes are read once more with their sets
+of shingles, and only texts of exact likeness link. Blocks and components of more than CROWD texts are dealt out as pairs of chunks, so no task
+holds more than two chunks and no link is lost.
+
+Null and empty texts have the fingerprint zero and link like any other (the likeness of two texts without words is 1). Repeated rows share their
+class; a null doc_id counts as largest. An empty table gives an empty result; further columns are ignored by `classes` and kept by `dedup`.
 """
 
 from __future__ import annotations
 
-import functools
 import itertools
 from collections.abc import Iterator
 
@@ -38,14 +43,18 @@ DISTANCE = 4
 DENSE = 1 << 16
 #: The ring has as many segments as leave this many fingerprints under a segment value on average, so the pairs looked at stay in proportion.
 SHARED = 64
+MOST_CENTRED = 4  # beyond this distance centres would be too many, and dense values are dealt out as pairs of chunks
 KEY_BITS = 40  # of a key, for the value; the segment's number stands above
 FOREST = 512  # runs longer than this are searched breadth first
 EDGES_PER_TASK = 1 << 20
 PAIRS = 1 << 19  # pairs of short runs looked at at once
-#: `dedup` finds candidates by so many independent fingerprints, and keeps apart what is less alike than this.
-PRINTS = 10
+#: `dedup`: texts share a block if ROWS min-hashes agree in one of BANDS bands; at a likeness of 0.8 that misses 1 pair in 200.
+BANDS, ROWS = 10, 4
+NEAR_SEGMENTS, NEAR = 4, 18  # at a likeness of 0.8, 9.7 of 64 bits differ on average, with a spread of 2.9
 LIKENESS = 0.8
-CROWD = 32  # linked texts of a batch of buckets up to which all their pairs are candidates at once
+CROWD = 2048  # texts of a chunk
+CHUNK_SHINGLES = 1 << 21  # and their shingles
+_ODD = np.random.default_rng(7).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingle_hashes(text: str, width: int) -> list[int]:
@@ -66,24 +75,9 @@ def _bits(values: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > len(values), bitorder="little").view("<u8")[0])
 
 
-def fingerprint(text: str | None, width: int, prints: int = 1) -> list[int]:
-    """The fingerprint, and further ones from the same hashes mixed anew."""
+def fingerprint(text: str | None, width: int) -> int:
     hashes = shingle_hashes(text or "", width)
-    if not hashes:
-        return [0] * prints
-    return mixed_bits(np.array(hashes, dtype="<u8"), prints)
-
-
-def mixed_bits(values: np.ndarray, prints: int) -> list[int]:
-    """The fingerprints of values; the further ones are of the values mixed anew."""
-    if not len(values):
-        return [0] * prints
-    out = []
-    for _ in range(prints):
-        out.append(_bits(values))
-        values = (values ^ (values >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-        values ^= values >> np.uint64(33)
-    return out
+    return _bits(np.array(hashes, dtype="<u8")) if hashes else 0
 
 
 def fingerprints(docs: DataFrame, width: int) -> DataFrame:
@@ -91,7 +85,7 @@ def fingerprints(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, width)[0] for t in batch.column("text").to_pylist()], dtype=np.uint64).view(np.int64)
+            found = np.array([fingerprint(t, width) for t in batch.column("text").to_pylist()], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(found)], names=["doc_id", "text_hash", "fp"])
 
     bound_batches(docs.sparkSession)
@@ -151,7 +145,19 @@ def _linked(a: np.ndarray, b: np.ndarray, which: np.ndarray | int, segments: int
     return alive
 
 
-def _forest(fps: np.ndarray, home: np.ndarray, which: int, segments: int, distance: int) -> list[tuple[int, int]]:
+def _near(a: np.ndarray, b: np.ndarray, segments: int, distance: int) -> np.ndarray:
+    """Which pairs have a chain of two segments, from any start, within its budgets, and pass the full check."""
+    x = a ^ b
+    parts = [np.bitwise_count((x >> np.uint64(shift)) & np.uint64((1 << width) - 1)) for shift, width in ring(segments)]
+    alive = np.zeros(len(x), bool)
+    for k, first in enumerate(parts):
+        alive |= (first <= distance // segments) & (first + parts[(k + 1) % segments] <= 2 * distance // segments)
+    some = np.nonzero(alive)[0]
+    alive[some] = np.bitwise_count(x[some]) <= distance
+    return alive
+
+
+def _forest(fps: np.ndarray, home: np.ndarray, which: int | None, segments: int, distance: int) -> list[tuple[int, int]]:
     """Spanning links of a long run; only pairs with at least one member at home in the bucket count."""
     out = []
     left = np.arange(len(fps))
@@ -160,7 +166,8 @@ def _forest(fps: np.ndarray, home: np.ndarray, which: int, segments: int, distan
         while todo and len(left):
             k = todo.pop()
             can = left if home[k] else left[home[left]]
-            hit = can[_linked(np.full(len(can), fps[k]), fps[can], which, segments, distance)]
+            own = np.full(len(can), fps[k])
+            hit = can[_near(own, fps[can], segments, distance) if which is None else _linked(own, fps[can], which, segments, distance)]
             if len(hit):
                 out += [(k, int(j)) for j in hit]
                 todo += hit.tolist()
@@ -191,14 +198,14 @@ def stars(i: np.ndarray, j: np.ndarray, names: np.ndarray) -> tuple[np.ndarray,
     return known[some], known[label[some]]
 
 
-def run_links(keys: np.ndarray, fps: np.ndarray, home: np.ndarray, segments: int, distance: int) -> tuple[np.ndarray, np.ndarray]:
+def run_links(keys: np.ndarray, fps: np.ndarray, home: np.ndarray, segments: int, distance: int, filed_by_segment: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Positions of linked pairs in runs of equal keys (sorted); in long runs as many as span them."""
     edges = np.nonzero(np.diff(keys))[0] + 1
     first, last = np.concatenate(([0], edges)), np.concatenate((edges, [len(keys)]))
     size = last - first
     left, right = [], []
     for a, b in zip(first[size > FOREST], last[size > FOREST], strict=True):
-        for i, j in _forest(fps[a:b], home[a:b], int(keys[a]) >> KEY_BITS, segments, distance):
+        for i, j in _forest(fps[a:b], home[a:b], int(keys[a]) >> KEY_BITS if filed_by_segment else None, segments, distance):
             left.append(np.array([a + i]))
             right.append(np.array([a + j]))
     short = (size > 1) & (size <= FOREST)
@@ -213,7 +220,7 @@ def run_links(keys: np.ndarray, fps: np.ndarray, home: np.ndarray, segments: int
         j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
         some = home[i] | home[j]
         i, j = i[some], j[some]
-        ok = _linked(fps[i], fps[j], keys[i] >> KEY_BITS, segments, distance)
+        ok = _linked(fps[i], fps[j], keys[i] >> KEY_BITS, segments, distance) if filed_by_segment else _near(fps[i], fps[j], segments, distance)
         left.append(i[ok])
         right.append(j[ok])
         begin = cut
@@ -268,6 +275,34 @@ def bucket_links(rows: DataFrame, segments: int, distance: int) -> DataFrame:
     return dealt.mapInArrow(tidy(link), "a long, b long")
 
 
+def in_chunks(rows: DataFrame, key: str, size: int, shingles: int | None = None) -> DataFrame:
+    """Adds `part`: the key, or for a key of more than `size` rows (or of more than so many shingles, column n) a value for each two of its chunks.
+
+    Rows are dealt to chunks by a hash of rep, and any two rows of a key share at least one part."""
+    need = F.count("*") / F.lit(size)
+    need = F.ceil(F.greatest(need, F.sum("n") / F.lit(shingles)) if shingles else need)
+    hot = materialize(rows.groupBy(key).agg(need.cast("int").alias("__chunks"), F.count("*").alias("__count")).filter("__chunks > 1 AND __count > 1").drop("__count"))
+    chunk = F.pmod(F.xxhash64("rep"), F.col("__chunks")).cast("int")
+    two = lambda j: F.xxhash64(F.col(key), F.least(chunk, j), F.greatest(chunk, j))
+    parts = F.when(F.col("__chunks").isNull(), F.array(F.col(key))).otherwise(F.transform(F.sequence(F.lit(0), F.coalesce("__chunks", F.lit(1)) - 1), two))
+    return rows.join(small(hot), key, "left").withColumn("part", F.explode(parts)).drop("__chunks")
+
+
+def part_links(rows: DataFrame, segments: int, distance: int) -> DataFrame:
+    """`bucket_links` by part in place of key."""
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parts, keys, reps, fps, home in _whole_runs(batches, ("part", "key", "rep", "fp", "home")):
+            fps, home = fps.view(np.uint64), home.astype(bool)
+            ends = np.append(np.nonzero(np.diff(parts))[0] + 1, len(parts))
+            for a, b in zip(np.concatenate(([0], ends[:-1])).tolist(), ends.tolist(), strict=True):
+                i, j = run_links(keys[a:b], fps[a:b], home[a:b], segments, distance)
+                far, near = stars(i, j, reps[a:b])
+                yield pa.RecordBatch.from_arrays([pa.array(far), pa.array(near)], names=["a", "b"])
+
+    return rows.repartition("part").sortWithinPartitions("part", "key").mapInArrow(tidy(link), "a long, b long")
+
+
 def centre_links(nodes: DataFrame, distance: int) -> DataFrame:
     """Links between nodes that share a fingerprint within distance // 2 of both (all pairs within an even distance do)."""
     masks = np.array([0, *_flips(BITS, distance // 2)], dtype=np.uint64)
@@ -280,8 +315,6 @@ def centre_links(nodes: DataFrame, distance: int) -> DataFrame:
                 all_of = (fps[:, None] ^ masks[None, :]).ravel().view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(all_of), pa.array(np.repeat(part.column("rep").to_numpy(zero_copy_only=False), len(masks)))], names=["centre", "rep"])
 
-    if distance % 2:
-        raise ValueError("dense segments need an even distance")
     spread = lambda: nodes.select("rep", "fp").mapInArrow(tidy(centres), "centre long, rep long")
     least = materialize(spread().groupBy("centre").agg(F.min("rep").alias("least"), F.count("*").alias("n")).filter("n > 1").select("centre", "least"))
     return spread().join(least, "centre").filter("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
@@ -305,6 +338,9 @@ def links(nodes: DataFrame, n_nodes: int, distance: int = DISTANCE, dense: int =
         return bucket_links(rows, segments, distance)
     # a link shows under a value that is not dense, or else both of its ends meet a dense one
     met = materialize(rows.join(small(heavy, n_heavy), "key", "left_semi").select("rep").distinct())
+    if distance > MOST_CENTRED or distance % 2:
+        dealt = in_chunks(rows, "key", dense).select("key", "part", "rep", "fp", "home")
+        return part_links(dealt, segments, distance)
     crowd = materialize(nodes.join(small(met), "rep", "left_semi"))
     return bucket_links(rows.join(small(heavy, n_heavy), "key", "left_anti"), segments, distance).unionByName(centre_links(crowd, distance))
 
@@ -363,82 +399,88 @@ def classes(docs: DataFrame, width: int = 4, distance: int = DISTANCE, dense: in
     return rows.join(small(named), "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
-def near_pairs(texts: DataFrame, n_texts: int, distance: int) -> DataFrame:
-    """Pairs (a, b) of texts (rep, fp) within the distance, and whether they are crowded.
-
-    Of what links in a batch of buckets, components of at most CROWD texts give all their pairs; larger ones give stars to their smallest, marked
-    as crowded: their other pairs are left to `crowd_pairs`."""
-    segments = segments_for(n_texts, distance)
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, reps, fps, home in _whole_runs(batches, ("key", "rep", "fp", "home")):
-            i, j = run_links(keys, fps.view(np.uint64), home.astype(bool), segments, distance)
-            i, j = i[reps[i] != reps[j]], j[reps[i] != reps[j]]
-            if not len(i):
-                continue
-            far, root = stars(i, j, reps)
-            roots, size = np.unique(root, return_counts=True)
-            big = roots[size >= CROWD]
-            crowded = np.isin(root, big)
-            one = ~np.isin(reps[i], np.concatenate([far[crowded], big]))
-            x, y = reps[i[one]], reps[j[one]]
-            pairs = np.unique(np.column_stack([np.maximum(x, y), np.minimum(x, y)]), axis=0)
-            left, right = np.concatenate([pairs[:, 0], far[crowded]]), np.concatenate([pairs[:, 1], root[crowded]])
-            yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.array(np.arange(len(left)) >= len(pairs))], names=["a", "b", "crowded"])
-
-    dealt = file_nodes(texts, segments, distance).repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(tidy(link), "a long, b long, crowded boolean")
+def bands_of(shingles: np.ndarray) -> np.ndarray:
+    """BANDS values of a set of shingles, each of ROWS of its min-hashes."""
+    least = np.full(len(_ODD), np.iinfo(np.uint64).max, np.uint64)
+    for k in range(0, len(shingles), 1 << 12):
+        part = shingles[k : k + (1 << 12)]
+        np.minimum(least, ((part ^ (part >> np.uint64(32)))[None, :] * _ODD[:, None]).min(axis=1), out=least)
+    least = (least ^ (least >> np.uint64(29))) * _ODD  # the same value in another place of a band is another one
+    sums = least.reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64)
+    return sums ^ (sums >> np.uint64(31))
 
 
-def crowd_pairs(texts: DataFrame, n_texts: int, distance: int) -> DataFrame:
-    """All pairs (a, b) of texts (rep, fp, label) within the distance and of different labels."""
-    segments = segments_for(n_texts, distance)
+def block_links(blocks: DataFrame, distance: int) -> DataFrame:
+    """Links (a, b) that span what lies within the distance in each part of the blocks (part, rep, fp)."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, reps, fps, home, labels in _whole_runs(batches, ("key", "rep", "fp", "home", "label")):
-            fps, home = fps.view(np.uint64), home.astype(bool)
-            edges = np.nonzero(np.diff(keys))[0] + 1
-            for first, last in zip(np.concatenate(([0], edges)).tolist(), np.concatenate((edges, [len(keys)])).tolist(), strict=True):
-                _, place, size = np.unique(labels[first:last], return_inverse=True, return_counts=True)
-                if len(size) < 2:
-                    continue
-                order = first + np.lexsort((place, size[place]))  # the largest label last: its texts need not be compared with each other
-                own, which = labels[order], int(keys[first]) >> KEY_BITS
-                for k in range(len(order) - int(size.max())):
-                    can = order[k + 1 :][own[k + 1 :] != own[k]]
-                    can = can if home[order[k]] else can[home[can]]
-                    hit = can[_linked(np.full(len(can), fps[order[k]]), fps[can], which, segments, distance)]
-                    if len(hit):
-                        x, y = np.full(len(hit), reps[order[k]]), reps[hit]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], names=["a", "b"])
-
-    filed_rows = file_nodes(texts, segments, distance).join(texts.select("rep", "label"), "rep").select("key", "rep", "fp", "home", "label")
-    return filed_rows.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(link), "a long, b long")
-
-
-def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
-    """(rep, hashes) of texts (rep, text): the distinct shingles' values."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.unique(np.array(shingle_hashes(t or "", width), dtype=np.uint64)).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(found, pa.list_(pa.int64()))], names=["rep", "hashes"])
+        for keys, reps, fps in _whole_runs(batches, ("part", "rep", "fp")):
+            i, j = run_links(keys, fps.view(np.uint64), np.ones(len(keys), bool), NEAR_SEGMENTS, distance, filed_by_segment=False)
+            far, near = stars(i, j, reps)
+            yield pa.RecordBatch.from_arrays([pa.array(far), pa.array(near)], names=["a", "b"])
 
-    bound_batches(texts.sparkSession)
-    return texts.select("rep", "text").mapInArrow(tidy(run), "rep long, hashes array<long>")
+    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(tidy(link), "a long, b long")
 
 
-def alike(pairs: DataFrame, texts: DataFrame, keyed: DataFrame, width: int, likeness: float) -> DataFrame:
-    """The pairs (a, b) whose sets of shingles have a Jaccard likeness of at least `likeness`.
+def alike(sizes: np.ndarray, shingles: np.ndarray, likeness: float) -> np.ndarray:
+    """Class numbers of texts (their sets of shingles in a row, of the sizes given) that span all pairs of at least this Jaccard likeness."""
+    m = len(sizes)
+    label, done = np.arange(m), np.zeros(m, bool)
+    ends = np.cumsum(sizes)
+    _, which, often = np.unique(shingles, return_inverse=True, return_counts=True)
+    owners = np.repeat(np.arange(m), sizes)[np.argsort(which, kind="stable")]  # postings of each shingle
+    begins = np.cumsum(often) - often
+    while True:
+        open_ = np.nonzero(~done & (label != np.argmax(np.bincount(label))))[0]  # pairs within the largest class need no look
+        if not len(open_):
+            return label
+        i = int(open_[0])
+        own = which[ends[i] - sizes[i] : ends[i]]
+        n = often[own]
+        at = np.repeat(begins[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        shared = np.bincount(owners[at], minlength=m)
+        hit = shared >= (sizes + sizes[i] - shared) * likeness - 1e-6
+        label[np.isin(label, label[hit])] = label[i]
+        done[i] = True
+
+
+def exact_links(sets: DataFrame, likeness: float) -> DataFrame:
+    """Links (a, b) that span the pairs of exact likeness in each part of the sets (part, rep, hashes)."""
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """Whole runs of parts; the last one of a batch may go on in the next."""
+        held, last = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column("part").to_numpy(zero_copy_only=False)
+            cut = int(np.searchsorted(keys, keys[-1]))
+            if held and not cut and last == keys[0]:
+                held.append(batch)
+                continue
+            if held or cut:
+                yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held, last = [batch.slice(cut)], keys[-1]
+        if held:
+            yield pa.Table.from_batches(held)
 
-    texts: rep, __h1, __h2 and n, the size of the set. keyed: __h1, __h2 and text, any rows of those texts."""
-    sizes = texts.select("rep", "n")
-    sized = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-    fit = materialize(sized.filter(F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(likeness - 1e-9)))  # no others can be so alike
-    needed = materialize(fit.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(texts.select("rep", "__h1", "__h2"), "rep"))
-    sets = materialize(shingle_sets(keyed.join(small(needed), ["__h1", "__h2"]).select("rep", "text"), width).dropDuplicates(["rep"]))
-    both = fit.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b").withColumn("shared", F.size(F.array_intersect("ha", "hb")))
-    return both.filter(F.col("shared") >= (F.col("na") + F.col("nb") - F.col("shared")) * F.lit(likeness) - F.lit(1e-6)).select("a", "b")
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches):
+            parts, reps = (table.column(c).to_numpy() for c in ("part", "rep"))
+            lists = pa.concat_arrays(table.column("hashes").chunks)
+            offsets, flat = np.asarray(lists.offsets, dtype=np.int64), lists.values.to_numpy()
+            first = np.concatenate(([0], np.nonzero(np.diff(parts))[0] + 1, [len(parts)]))
+            far, near = [], []
+            for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                if b - a > 1:
+                    label = alike(np.diff(offsets[a : b + 1]), flat[offsets[a] : offsets[b]], likeness)
+                    some = label != np.arange(b - a)
+                    far.append(reps[a:b][some])
+                    near.append(reps[a:b][label[some]])
+            none = np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *far])), pa.array(np.concatenate([none, *near]))], names=["a", "b"])
+
+    return sets.repartition("part").sortWithinPartitions("part").mapInArrow(tidy(link), "a long, b long")
 
 
 def _labelled(texts: DataFrame, edges: DataFrame) -> DataFrame:
@@ -446,43 +488,43 @@ def _labelled(texts: DataFrame, edges: DataFrame) -> DataFrame:
     return materialize(texts.join(small(found), texts["rep"] == found["node"], "left").select(*texts.columns, F.coalesce("root", "rep").alias("label")))
 
 
-def near_classes(docs: DataFrame, width: int, distance: int, prints: int, likeness: float) -> tuple[DataFrame, DataFrame]:
+def near_classes(docs: DataFrame, width: int, distance: int, likeness: float) -> tuple[DataFrame, DataFrame]:
     """The distinct texts (__h1, __h2, least doc_id, rows, rep, label: the class) and docs with __h1, __h2 added.
 
-    Candidates are pairs within the distance in any of the fingerprints; each is held against the exact likeness of the sets of shingles, and the
-    classes are the components of the pairs that pass. Texts are named by a number of their own, so that null and repeated doc_ids don't matter."""
+    Texts are named by a number of their own, so that null and repeated doc_ids don't matter."""
     text = F.coalesce("text", F.lit(""))
     keyed = docs.withColumns({"__h1": F.xxhash64(text), "__h2": F.xxhash64(F.lit("second"), text)})
-    names = [f"fp{k}" for k in range(prints)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.unique(np.array(shingle_hashes(t, width), dtype="<u8")) for t in batch.column("text").to_pylist()]
-            found = np.array([mixed_bits(x, prints) for x in sets], dtype=np.uint64).reshape(-1, prints).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "__h1", "__h2")), pa.array([len(x) for x in sets], pa.int64()), *(pa.array(found[:, k]) for k in range(prints))], names=["doc_id", "__h1", "__h2", "n", *names])
+            fps = np.array([_bits(x) if len(x) else 0 for x in sets], dtype=np.uint64).view(np.int64)
+            bands = np.array([bands_of(x) for x in sets], dtype=np.uint64).reshape(-1).view(np.int64)
+            ends = pa.array(np.arange(0, len(bands) + 1, BANDS, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "__h1", "__h2")), pa.array([len(x) for x in sets], pa.int64()), pa.array(fps), pa.ListArray.from_arrays(ends, pa.array(bands))], names=["doc_id", "__h1", "__h2", "n", "fp", "bands"])
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(np.array(shingle_hashes(t, width), dtype=np.uint64)).view(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "rep", "n")), pa.array(sets, pa.list_(pa.int64()))], names=["key", "rep", "n", "hashes"])
 
     bound_batches(docs.sparkSession)
-    rows = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "__h1", "__h2", text.alias("text")).mapInArrow(tidy(run), "doc_id long, __h1 long, __h2 long, n long, " + ", ".join(f"{c} long" for c in names))
-    grouped = rows.groupBy("__h1", "__h2").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"), *(F.first(c).alias(c) for c in ("n", *names)))
+    rows = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "__h1", "__h2", text.alias("text")).mapInArrow(tidy(describe), "doc_id long, __h1 long, __h2 long, n long, fp long, bands array<long>")
+    grouped = rows.groupBy("__h1", "__h2").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"), *(F.first(c).alias(c) for c in ("n", "fp", "bands")))
     texts = materialize(grouped.withColumn("rep", F.monotonically_increasing_id()))  # written once, so the numbers stay
-    n_texts = texts.count()
-    source = keyed.select("__h1", "__h2", "text")
-    parts = [materialize(near_pairs(texts.select("rep", F.col(c).alias("fp")), n_texts, distance)) for c in names]
-    pairs = functools.reduce(DataFrame.unionByName, parts)
-    edges = materialize(alike(materialize(pairs.select("a", "b").distinct()), texts, source, width, likeness))
-    crowd = materialize(pairs.filter("crowded").select(F.explode(F.array("a", "b")).alias("rep")).distinct())
-    n_crowd = crowd.count()
-    if n_crowd:
-        left = _labelled(texts.join(small(crowd, n_crowd), "rep", "left_semi"), edges)
-        further = [materialize(crowd_pairs(left.select("rep", F.col(c).alias("fp"), "label"), n_crowd, distance)) for c in names]
-        more = materialize(functools.reduce(DataFrame.unionByName, further).distinct())
-        edges = edges.unionByName(materialize(alike(more, texts, source, width, likeness)))
-    return _labelled(texts.select("__h1", "__h2", "least", "rows", "rep"), edges), keyed
-
-
-def dedup(docs: DataFrame, width: int = 5, distance: int = 8, prints: int = PRINTS, likeness: float = LIKENESS) -> DataFrame:
+    blocks = in_chunks(texts.select(F.explode("bands").alias("key"), "rep", "fp"), "key", CROWD)
+    maybe = _labelled(texts.select("__h1", "__h2", "rep", "n"), block_links(blocks.select("part", "rep", "fp"), distance))
+    several = maybe.groupBy("label").agg(F.count("*").alias("texts")).filter("texts > 1").select("label")
+    needed = materialize(maybe.join(small(materialize(several)), "label").select("__h1", "__h2", "rep", "n", F.col("label").alias("key")))
+    asked = keyed.select("__h1", "__h2", text.alias("text")).join(small(needed), ["__h1", "__h2"]).select("key", "rep", "n", "text")
+    sets = asked.mapInArrow(tidy(shingle), "key long, rep long, n long, hashes array<long>").groupBy("rep").agg(*(F.first(c).alias(c) for c in ("key", "n", "hashes")))
+    dealt = in_chunks(materialize(sets), "key", CROWD, CHUNK_SHINGLES).select("part", "rep", "hashes")
+    return _labelled(texts.select("__h1", "__h2", "least", "rows", "rep"), exact_links(dealt, likeness)), keyed
+
+
+def dedup(docs: DataFrame, width: int = 5, distance: int = NEAR, likeness: float = LIKENESS) -> DataFrame:
     """One row of each class of near copies, the one with the smallest doc_id (null ids come last), with all columns."""
-    texts, keyed = near_classes(docs, width, distance, prints, likeness)
+    texts, keyed = near_classes(docs, width, distance, likeness)
     classes_of = texts.groupBy("label").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "rep")).alias("keep"), F.sum("rows").alias("all")).filter("all > 1")
     touched = materialize(texts.join(classes_of, "label").select("__h1", "__h2", "least", (F.col("keep.rep") == F.col("rep")).alias("kept")))
     kept = materialize(touched.filter("kept").select("__h1", "__h2", F.col("least").alias("__least")))
