@@ -16,8 +16,6 @@ from tracewright.llm.queries import tokenizer_path
 
 #: A document goes if it has no letters, or if its best language has no more than this share of the belief.
 LEAST_BELIEF = 0.5
-#: Candidates for near copies: shingles of five words, at most this many differing bits of 64 in any of simhash.PRINTS fingerprints.
-NEAR_BITS = 8
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +30,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the row with the smallest doc_id of each class of near copies: linked texts share simhash.LIKENESS of their shingles (Jaccard) or more."""
-    return simhash.dedup(docs, width=5, distance=NEAR_BITS)
+    """Keeps the row with the smallest doc_id of each class of near copies: linked texts share 0.8 of their shingles of five words (Jaccard) or more."""
+    return simhash.dedup(docs, width=5, likeness=0.8)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
