@@ -9,7 +9,8 @@ round only adds column expressions; the rates are written to the shared folder e
 Documents are then repeated floor(rate + u) times, with u from a hash of the row, so the expected number of copies is the rate. Without a budget of tokens the first domain (the good one) sets it: its tokens keep their
 number, and the others are thinned or repeated around it.
 
-The classifier reads a bounded sample (PER_DOMAIN labelled rows of each domain). Null and empty texts have no tokens, and rate 1. Repeated rows
+Tokens are words between white space. Every text is classified once; what was found is written with the row's own columns. The classifier reads a
+bounded sample (PER_DOMAIN labelled rows of each domain). Null and empty texts have no tokens, and rate 1. Repeated rows
 get equal posteriors and rates. Without labels, or with one domain only, every rate is 1. An empty table gives an empty result; further columns
 are kept by `mix`, those whose names clash with its own included.
 """
@@ -20,12 +21,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import bound_batches, bounded_sample, materialize, tidy, unit_hash
+from tracewright.llm.common import bound_batches, bounded_sample, materialize, release, small, tidy, unit_hash
 
 #: Domains of the labelled table in order, the good one first, and their target weights.
 TARGETS = {"good": 0.88, "poor": 0.10, "toxic": 0.02}
@@ -81,9 +81,9 @@ class Classifier:
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_domain: int = PER_DOMAIN) -> Classifier | None:
-    """labels: doc_id and domain. The sample's labels, about per_domain a domain, are few enough to be broadcast."""
-    chosen = bounded_sample(labels.filter("doc_id IS NOT NULL AND domain IS NOT NULL").select("doc_id", "domain"), "domain", per_domain)
-    sample = materialize(docs.filter("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "domain"))
+    """labels: doc_id and domain."""
+    chosen = materialize(bounded_sample(labels.filter("doc_id IS NOT NULL AND domain IS NOT NULL").select("doc_id", "domain"), "domain", per_domain))
+    sample = materialize(docs.filter("text IS NOT NULL").select("doc_id", "text").join(small(chosen), "doc_id").select("text", "domain"))
     totals = {r.domain: r["count"] for r in sample.groupBy("domain").count().collect()}
     domains = [d for d in TARGETS if d in totals] + sorted(totals.keys() - TARGETS.keys())
     if len(domains) < 2:
@@ -115,22 +115,29 @@ def fit(docs: DataFrame, labels: DataFrame, per_domain: int = PER_DOMAIN) -> Cla
     return model
 
 
-def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
-    """The rows with __tokens and __p0, __p1, ... added; no shuffle."""
+def with_posteriors(docs: DataFrame, model: Classifier | None) -> DataFrame:
+    """The rows with __tokens and __p0, __p1, ... in place of __text, written to the shared folder; only the texts go through Python."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by VOCABULARY
-    k = len(model.domains)
+    k = len(model.domains) if model else 0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<tokens: long, p: array<double>>")
+    def classify(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = held.value
-        for batch in batches:
-            found = [own.features(t or "") for t in batch.column("__text").to_pylist()]
-            p = own.posteriors(np.array([f[1] for f in found])) if found else np.zeros((0, k))
-            columns = [*(batch.column(j) for j in range(batch.num_columns - 1)), pa.array([f[0] for f in found], pa.int64()), *(pa.array(p[:, j]) for j in range(k))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "__tokens", *(f"__p{j}" for j in range(k))])
+        for batch in texts:
+            lines = [t or "" for t in batch.to_pylist()]
+            if own:
+                found = [own.features(t) for t in lines]
+                p = own.posteriors(np.array([f[1] for f in found])) if found else np.zeros((0, k))
+                tokens = [f[0] for f in found]
+            else:
+                p, tokens = np.zeros((len(lines), 0)), [len(t.split()) for t in lines]
+            ends = pa.array(np.arange(len(lines) + 1, dtype=np.int32) * k)
+            yield pa.StructArray.from_arrays([pa.array(tokens, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(p.ravel(), pa.float64()))], names=["tokens", "p"])
+        release()
 
     bound_batches(docs.sparkSession)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "__text"), "__tokens long", *(f"__p{j} double" for j in range(k))])
-    return docs.mapInArrow(tidy(run), schema)
+    told = docs.withColumn("__m", classify(F.col("__text"))).drop("__text")
+    return materialize(told.select(*(F.col(c) for c in told.columns if c != "__m"), F.col("__m.tokens").alias("__tokens"), *(F.col("__m.p")[j].alias(f"__p{j}") for j in range(k))))
 
 
 def solve(members: DataFrame, k: int, targets: list[float], pull: float = PULL, rounds: int = ROUNDS, close: float | None = None) -> list[tuple[float, ...]]:
@@ -180,14 +187,14 @@ def with_rates(rows: DataFrame, k: int, history: list[tuple[float, ...]]) -> Dat
         return rows.withColumn("rate", F.lit(1.0))
     bound_batches(rows.sparkSession)
 
-    @F.pandas_udf("double")
-    def replay(*p):
-        x = np.column_stack(p)
+    @F.arrow_udf("double")
+    def replay(*p: pa.Array) -> pa.Array:
+        x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in p])
         r = y = np.ones(len(x))
         for momentum, pull, *slopes in history:
             n = np.maximum(0.0, y - x @ np.array(slopes) - pull * (y - 1))
             r, y = n, n + momentum * (n - r)
-        return pd.Series(r)
+        return pa.array(r)
 
     return rows.withColumn("rate", F.when(F.col("__tokens") > 0, replay(*(f"__p{j}" for j in range(k)))).otherwise(1.0))
 
@@ -195,17 +202,16 @@ def with_rates(rows: DataFrame, k: int, history: list[tuple[float, ...]]) -> Dat
 def _rated(docs: DataFrame, labels: DataFrame, targets: dict[str, float], budget: float | None) -> tuple[DataFrame, list[str]]:
     """The rows of docs (with a column __text beside their own) with __tokens, posteriors and rate."""
     model = fit(docs.withColumn("text", F.col("__text")), labels)
+    members = with_posteriors(docs, model)
     if model is None:
-        return docs.withColumns({"__tokens": F.size(F.split(F.coalesce("__text", F.lit("")), r"\s+")).cast("long"), "rate": F.lit(1.0)}).drop("__text"), []
+        return members.withColumn("rate", F.lit(1.0)), []
     k = len(model.domains)
-    members = materialize(posteriors(docs.select("__text"), model))
     weights = [targets.get(d, 0.0) for d in model.domains]
     if budget is None:
         own = float(members.agg(F.sum(F.col("__tokens") * F.col("__p0"))).first()[0] or 0)
         budget = own / (weights[0] / sum(weights)) if weights[0] else 0.0
-    history = solve(members, k, [budget * w / sum(weights) for w in weights], close=CLOSE)
-    columns = [c for c in docs.columns if c != "__text"]
-    return with_rates(posteriors(docs.select(*columns, "__text"), model), k, history), model.domains
+    history = solve(members.select("__tokens", *(f"__p{j}" for j in range(k))), k, [budget * w / sum(weights) for w in weights], close=CLOSE)
+    return with_rates(members, k, history), model.domains
 
 
 def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, budget: float | None = None) -> DataFrame:
@@ -223,5 +229,5 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
     carried = docs.select(*(F.col(c).alias(f"c_{c}") for c in docs.columns), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("__hash"), F.col("text").alias("__text"))
     rated, _ = _rated(carried, labels, targets, budget)
     n = copies_of(F.col("rate"), "doc_id", "__hash")
-    kept = rated.withColumn("__copies", n).filter("__copies > 0")
-    return kept.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*(F.col(f"c_{c}").alias(c) for c in docs.columns))
+    # no filter on the number: it would have the rates worked out once more below it
+    return rated.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), n))).select(*(F.col(f"c_{c}").alias(c) for c in docs.columns))
