@@ -5,7 +5,7 @@ of the longest length of which any is known, the mean of their log frequencies;
 the language with the largest sum wins (of equal sums the one that sorts first).
 
 The model is fitted on a bounded sample: about PER_LANGUAGE labelled rows of each language, chosen by a hash of doc_id; their counts are of whole
-texts. Null and letterless texts are `und` with score 0; words of unknown letters score alike in every language. Rows are independent: repeated
+texts. Letters are those of str.isalpha. Null and letterless texts are `und` with score 0; words of unknown letters score alike in every language. Rows are independent: repeated
 rows get equal results. Without labelled rows every text is `und`; an empty table gives an empty result; further columns stay where `predict`
 is asked to keep them.
 """
@@ -14,26 +14,35 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import bound_batches, bounded_sample, release, tidy
+from tracewright.llm.common import bound_batches, bounded_sample, materialize, release, small, tidy
 
 PER_LANGUAGE = 4000
-VOCABULARY = 60_000  # words kept, by count
+WORDS_KEPT = 20_000  # of each language, by count; words of the last count that would pass the number are left out together
 MAX_N = 5
 LEAST_GRAM = 3  # occurrences of an n-gram that is kept
 REMEMBERED = 100_000  # words whose scores a worker remembers
-WORDS = re.compile(r"[^\W\d_]+")
+RUNS = re.compile(r"[^\W\d_]+")  # letters, and the numerals that count as word characters without being decimal digits
 UNKNOWN = "und"
 
 
+def words_of(text: str | None) -> list[str]:
+    """Lower-cased runs of letters (as str.isalpha has them)."""
+    found = RUNS.findall((text or "").lower())
+    if not found or "".join(found).isalpha():
+        return found
+    return [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, n) over whole texts, added up in each batch before the shuffle."""
 
@@ -41,7 +50,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             counts: dict[str, Counter] = defaultdict(Counter)
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-                counts[lang].update(WORDS.findall((text or "").lower()))
+                counts[lang].update(words_of(text))
             rows = [(lang, w, n) for lang, c in counts.items() for w, n in c.items()]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())], names=["lang", "word", "n"])
 
@@ -63,6 +72,7 @@ class Model:
 
     def __init__(self, counts: list[tuple[str, str, int]]):
         """counts: (lang, word, n)."""
+        self.name = uuid.uuid4().hex
         self.langs = sorted({lang for lang, _, _ in counts})
         at = {lang: k for k, lang in enumerate(self.langs)}
         self.words: dict[str, int] = {}
@@ -96,30 +106,32 @@ class Model:
 
 
 class Predictor:
-    """A model with a memory of words; scores of remembered words stand in one table."""
+    """A model with a memory of unseen words; their scores stand below those of the known words in one table."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.table = np.zeros((1 << 14, max(1, len(model.langs))), np.float32)
+        self.known = len(model.words)
+        self.table = np.concatenate([model.word_logs, np.zeros((1 << 12, max(1, len(model.langs))), np.float32)]) if model.langs else np.zeros((1, 1), np.float32)
         memory = self
 
         class Places(dict):
             def __missing__(self, word: str) -> int:
                 k = len(self)
                 if k == len(memory.table):
-                    memory.table = np.concatenate([memory.table, np.zeros_like(memory.table)])
+                    memory.table = np.concatenate([memory.table, np.zeros((len(memory.table) - memory.known, memory.table.shape[1]), np.float32)])
                 memory.table[k] = memory.model.score(word)
                 self[word] = k
                 return k
 
-        self.places = Places()
+        self.places = Places(model.words)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        words = WORDS.findall((text or "").lower())
+        words = words_of(text)
         if not words or not self.model.langs:
             return UNKNOWN, 0.0
-        if len(self.places) > REMEMBERED:
+        if len(self.places) > self.known + REMEMBERED:
             self.places.clear()
+            self.places.update(self.model.words)
         places = list(map(self.places.__getitem__, words))
         sums = self.table[places].sum(axis=0, dtype=np.float64)
         best = int(np.argmax(sums))
@@ -128,38 +140,55 @@ class Predictor:
         return self.model.langs[best], float(1 / np.exp(odds).sum())
 
 
-def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, vocabulary: int = VOCABULARY) -> Model:
+_PREDICTORS: dict[str, Predictor] = {}
+
+
+def predictor(held: Broadcast) -> Predictor:
+    """One for all tasks of a worker; that of another model is given up."""
+    key = held.value.name
+    if key not in _PREDICTORS:
+        _PREDICTORS.clear()
+        _PREDICTORS[key] = Predictor(held.value)
+    return _PREDICTORS[key]
+
+
+def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, words: int = WORDS_KEPT) -> Model:
     """From rows with text and lang (rows without are passed over)."""
     sample = bounded_sample(labelled.filter("text is not null"), "lang", per_language)
-    top = word_counts(sample).orderBy(F.desc("n"), "lang", "word").limit(vocabulary)
-    return Model([(r.lang, r.word, r.n) for r in top.collect()])
+    counted = materialize(word_counts(sample))
+    sizes: dict[str, list[tuple[int, int]]] = defaultdict(list)
+    for r in counted.groupBy("lang", "n").agg(F.count("*").alias("words")).orderBy("lang", F.desc("n")).collect():  # a row for each count that occurs
+        sizes[r.lang].append((r.n, r.words))
+    limits = []
+    for lang, steps in sizes.items():
+        total, lowest = 0, steps[0][0]
+        for n, more in steps:
+            total += more
+            if total > words and n != steps[0][0]:
+                break
+            lowest = n
+        limits.append((lang, lowest))
+    least = small(labelled.sparkSession.createDataFrame(limits, "lang string, least long"), len(limits))
+    top = counted.join(least, "lang").filter("n >= least").orderBy(F.desc("n"), "lang", "word")
+    return Model([(r.lang, r.word, r.n) for r in top.collect()])  # bounded by words a language
 
 
 def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns, lang_pred and score of every row; no shuffle."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the vocabulary
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tell = Predictor(held.value)
-        for batch in batches:
-            found = [tell(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(f"k{k}") for k in range(len(keep))), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*keep, "lang_pred", "score"])
-
-    bound_batches(docs.sparkSession)
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "lang_pred string, score double"])
-    return docs.select(*(F.col(c).alias(f"k{k}") for k, c in enumerate(keep)), F.col("text")).mapInArrow(tidy(run), schema)
+    told = teller(docs.sparkSession, model)
+    return docs.select(*keep, told(F.col("text")).alias("__told")).select(*keep, "__told.lang_pred", "__told.score")
 
 
 def teller(spark: SparkSession, model: Model):
     """A function from a text column to a struct of lang_pred and score."""
-    held = spark.sparkContext.broadcast(model)  # bounded by the vocabulary
+    held = spark.sparkContext.broadcast(model)  # bounded by the words kept
 
-    @F.pandas_udf("struct<lang_pred: string, score: double>")
-    def tell(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = Predictor(held.value)
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def tell(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = predictor(held)
         for batch in texts:
-            yield pd.DataFrame([own(t) for t in batch], columns=["lang_pred", "score"])
-        del own
+            found = [own(t) for t in batch.to_pylist()]
+            yield pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["lang_pred", "score"])
         release()
 
     bound_batches(spark)
