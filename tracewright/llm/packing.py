@@ -10,6 +10,7 @@ result. Further columns of the input are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -46,14 +47,16 @@ def byte_ranks(vocabulary: dict[str, int]) -> dict[bytes, int]:
 class Encoder:
     """Text to little-endian unsigned 32-bit ids, as the tokenizer file has them, with a memory of words.
 
-    Words that are met first are merged by tiktoken under the tokenizer file's own vocabulary; that takes a third of the time of a call of the tokenizer."""
+    Words that are met first are merged by tiktoken under the tokenizer file's own vocabulary; that takes a third of the time of a call of the tokenizer,
+    which is loaded only when a text needs it."""
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
-        self.words = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=byte_ranks(self.whole.get_vocab(with_added_tokens=False)), special_tokens={})._core_bpe.encode_ordinary
+        self.path, self._whole = path, None
+        with open(path, encoding="utf-8") as f:
+            vocabulary = json.load(f)["model"]["vocab"]
+        self.words = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=byte_ranks(vocabulary), special_tokens={})._core_bpe.encode_ordinary
         encoder = self
         self.older: dict[str, bytes] = {}
 
@@ -66,6 +69,14 @@ class Encoder:
 
         self.known = Known()
 
+    @property
+    def whole(self):
+        if self._whole is None:
+            from tokenizers import Tokenizer
+
+            self._whole = Tokenizer.from_file(self.path)
+        return self._whole
+
     def __call__(self, text: str) -> bytes:
         if OTHER.search(text) or SPECIAL in text:
             return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
