@@ -1,8 +1,9 @@
 """Secret scanning over a trigram inverted index, in DataFrame functions alone.
 
 Each rule is a regular expression. From its parse tree follows a Boolean query over lower-cased trigrams that every match must contain: an OR of
-ANDs. The index holds a posting (trigram, doc_id) for each trigram of these queries and each text that has it; intersecting postings leaves the
-candidates of a rule, whose texts alone are searched with the expression. A rule without mandatory trigrams searches every text.
+ANDs. The index holds a posting (trigram, doc_id) for each trigram of these queries and each text that has it; intersecting the postings of a
+conjunction leaves the candidates of its rule, whose texts alone are searched with the expression. A rule without mandatory trigrams searches every
+text. Work is linear in rules and, but for sums over short stretches, in a text's matches.
 
 Matches are leftmost and do not overlap within a rule; those that fail the rule's length are dropped after matching. Spans count code points, end
 exclusive. Null texts count as empty; empty texts have no spans; rows that repeat an id are searched one by one (the index only has to know that
@@ -103,40 +104,42 @@ def build_index(docs: DataFrame, grams: list[str]) -> DataFrame:
     return materialize(has.select("doc_id", F.explode(present).alias("gram")))
 
 
-def candidates(index: DataFrame, queries: dict[str, Query], grams: list[str]) -> DataFrame:
-    """doc_id, and for each rule whether the intersected postings leave the document."""
-    bit = {g: 1 << k for k, g in enumerate(grams)}
-    code = F.lit(0).cast("long")
-    for g, b in bit.items():
-        code = F.when(F.col("gram") == g, F.lit(b).cast("long")).otherwise(code)
-    held = index.groupBy("doc_id").agg(F.bit_or(code).alias("held"))
-    passed = {}
-    for kind, q in queries.items():
-        hit = F.lit(False)
-        for conjunct in sorted(map(sorted, q)):
-            need = sum(bit[g] for g in conjunct)
-            hit = hit | (F.col("held").bitwiseAND(F.lit(need).cast("long")) == need)
-        passed[kind] = hit
-    left = held.select("doc_id", *(c.alias(f"may_{k}") for k, c in passed.items()))
-    return left.filter(" OR ".join(f"may_{k}" for k in passed))
+def candidates(index: DataFrame, queries: dict[str, Query]) -> DataFrame:
+    """doc_id and the kinds of the rules for which the intersected postings leave the document: all trigrams of some conjunction are there."""
+    conjuncts = [(no, kind, sorted(c)) for no, (kind, c) in enumerate((k, c) for k, q in sorted(queries.items()) for c in sorted(q, key=sorted))]
+    asked = [(g, no, kind, len(grams)) for no, kind, grams in conjuncts for g in grams]
+    wanted = small(index.sparkSession.createDataFrame(asked, "gram string, conjunct int, kind string, need int"), len(asked))
+    met = index.join(wanted, "gram").groupBy("doc_id", "conjunct", "kind", "need").agg(F.size(F.collect_set("gram")).alias("held")).filter("held = need")
+    return met.groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
+
+
+STRETCH = 256  # matches whose offsets are summed together
+SPANS = "array<struct<start:int,kind_no:int,end:int,kind:string>>"
 
 
 def spans(text: Column, rule: Rule, order: int) -> Column:
-    """Array of (start, order, end, kind) of the rule's matches in the text."""
-    found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else found
-    between = F.split(text, rule.pattern, -1)
-    kind = "struct<start:int,kind_no:int,end:int,kind:string>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+    """Array of (start, order, end, kind) of the rule's matches in the text.
+
+    Each expression runs once a text. Offsets are running sums over stretches of matches, so that no long list is copied for each match."""
+    group = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
+    searched = F.struct(F.split(text, rule.pattern, -1).alias("between"), F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)).alias("found"), group.alias("group"))
+    lengths = lambda c: F.transform(c, lambda x: F.length(x))
+    # one element, so that what was searched for is bound to a name
+    items = F.transform(F.array(searched), lambda s: F.arrays_zip(F.slice(lengths(s["between"]), 1, F.size(s["found"])).alias("gap"), lengths(s["found"]).alias("size"), lengths(s["group"]).alias("own")))
+    stretches = F.transform(items, lambda a: F.transform(F.sequence(F.lit(0), F.greatest(F.size(a) - 1, F.lit(0)), F.lit(STRETCH)), lambda k: F.slice(a, k + 1, F.lit(STRETCH))))[0]
+
+    def one(acc: Column, x: Column) -> Column:
+        begin = acc["at"] + x["gap"]
+        end = begin + x["size"]
+        span = F.struct(begin.alias("start"), F.lit(order).alias("kind_no"), end.alias("end"), F.lit(rule.kind).alias("kind"))
+        return F.struct(end.alias("at"), F.when(x["own"] >= rule.least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-    def step(acc: Column, i: Column) -> Column:
-        begin = acc["at"] + F.length(F.get(between, i))
-        end = begin + F.length(F.get(found, i))
-        one = F.struct(begin.alias("start"), F.lit(order).alias("kind_no"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-        return F.struct(end.alias("at"), F.when(F.length(F.get(values, i)) >= rule.least, F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
+    def some(acc: Column, xs: Column) -> Column:
+        inner = F.aggregate(xs, F.struct(acc["at"].alias("at"), F.array().cast(SPANS).alias("out")), one)
+        # the sum is bound like the search above
+        return F.transform(F.array(inner), lambda i: F.struct(i["at"].alias("at"), F.concat(acc["outs"], F.array(i["out"])).alias("outs")))[0]
 
-    some = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, step, lambda acc: acc["out"])
-    return F.when(F.size(found) > 0, some).otherwise(F.array().cast(f"array<{kind}>"))
+    return F.aggregate(stretches, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("outs")), some, lambda acc: F.flatten(acc["outs"]))
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -146,14 +149,14 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     if indexed:
         grams = sorted(set().union(*(c for q in indexed.values() for c in q)))
-        hits = materialize(candidates(build_index(docs, grams), indexed, grams))
+        hits = materialize(candidates(build_index(docs, grams), indexed))
         rows = rows.join(small(hits), "doc_id", "left")
-    empty = F.array().cast("array<struct<start:int,kind_no:int,end:int,kind:string>>")
+    empty = F.array().cast(SPANS)
     per_rule = []
     for k, r in enumerate(rules):
         own = spans(F.col("text"), r, k)
         if r.kind in indexed:
-            own = F.when(F.coalesce(F.col(f"may_{r.kind}"), F.col("doc_id").isNull()), own).otherwise(empty)
+            own = F.when(F.coalesce(F.array_contains("kinds", r.kind), F.col("doc_id").isNull()), own).otherwise(empty)
         per_rule.append(own)
     return rows.select("doc_id", F.sort_array(F.concat(*per_rule)).alias("spans"))
 
