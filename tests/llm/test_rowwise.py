@@ -48,7 +48,7 @@ def test_words_as_the_tokenizer(spark):
         assert np.frombuffer(enc(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
 
 
-URLS = [None, "", "no scheme", "http://", "HTTP://A.Example.COM/en/7x?y#z", "https://example.com/en/8", "https://xcom/en/1", "https://spam.org/", "https://spammer.org/", "http://free-bets.org/fr/1", "http://free.org/a", "http://h?casino", "http://casino-win.net/de/8", "http://a.example.net/de/8#", "a://b://c/d", "http://nl\n.com/en/\nx", "http://free.free.org", "http://ñfree-bets.org"]
+URLS = [None, "", "no scheme", "http://", "HTTP://A.Example.COM/en/7x?y#z", "https://example.com/en/8", "https://xcom/en/1", "https://spam.org/", "https://spammer.org/", "http://free-bets.org/fr/1", "http://free.org/a", "http://h?casino", "http://casino-win.net/de/8", "http://a.example.net/de/8#", "a://b://c/d", "http://nl\n.com/en/\nx", "http://free.free.org", "http://ñfree-bets.org", "https://x.com/go?site=casino", "https://x.com/#free+bets", "casino.com/porn", "free/xfree"]
 
 
 def brute_url(url):
@@ -63,19 +63,30 @@ def brute_url(url):
         top, rest = rule.split("/", 1)
         if (host == top or host.endswith("." + top)) and path.startswith("/" + rest) and (best is None or len(rule) > len(best[0])):
             best = rule, verdict
-    whole = (host + path).lower()
+    whole = (url or "").lower()
     has = lambda w: re.search(rf"(?<![a-z0-9]){w}(?![a-z0-9])", whole) is not None
     own = "block" if any(map(has, url_filter.STRICT)) or sum(map(has, url_filter.SOFT)) >= 2 else "allow"
     return host, path, best and best[0], best[1] if best else own
 
 
 def test_urls(spark):
-    pages = spark.createDataFrame([(k, u, "x") for k, u in enumerate(URLS + URLS[:3])], "page_id long, url string, host string")
+    pages = spark.createDataFrame([(k, u, "x", "h") for k, u in enumerate(URLS + URLS[:3])], "page_id long, url string, host string, hits string")
+    assert {r.hits for r in url_filter.judge(pages).collect()} == {"h"}
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages).collect()}
     assert got == {k: brute_url(u) for k, u in enumerate(URLS + URLS[:3])}
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+def test_urls_with_a_large_vocabulary(spark):
+    strict, soft = [f"bad{k}" for k in range(5000)], [f"odd{k}" for k in range(5000)]
+    terms = spark.createDataFrame([(t.upper(), "strict") for t in strict] + [(t, "soft") for t in soft] + [("bad1", "soft"), ("", "strict"), (None, "soft"), ("x", "mild")], "term string, weight string")
+    strict, soft = url_filter.read_vocabulary(terms)
+    assert len(strict) == len(soft) == 5000
+    pages = spark.createDataFrame([(0, "http://a/bad4999"), (1, "http://a/xbad1"), (2, "http://a/odd7/odd7"), (3, "http://a/odd7?odd8"), (4, None)], "page_id long, url string")
+    got = {r.page_id: (r.verdict, r.strict_hits, r.soft_hits) for r in url_filter.judge(pages, strict=strict, soft=soft).collect()}
+    assert got == {0: ("block", 1, 0), 1: ("allow", 0, 0), 2: ("allow", 0, 1), 3: ("block", 0, 2), 4: ("allow", 0, 0)}
+
+
 SECRETS = ["password = 'abcdef123'", "PassWord:abc token=\"a.b/c+d_e-f=\"", "secret=token:abcdefgh", "api_key: ABCDEF apikey=123456 API_Key = 'xyzxyz'", "AKIA" + "A1" * 8, "xAKIAAKIA" + "B" * 14, "é日 " + "ab12" * 7 + " z " + "f" * 23, "passwd   := hunter2hunter", "tokens=abcdef", "ſecret=abcdefg", "token=" + "ab" * 20 + "!", "-----BEGIN RSA PRIVATE KEY-----", "ghp_" + "a1" * 20, None, "", "secret" * 500 + "=" + "x" * 9]
 
 
@@ -101,6 +112,25 @@ def test_secrets(spark, odd_docs):
     assert secrets.scan(docs.limit(0)).count() == 0
 
 
+def test_a_text_of_many_matches(spark):
+    import time
+
+    text = " ".join(f"{k:06x}" + "0123456789abcdef" * 2 + (" password=hunter22" if k % 5 == 0 else "") for k in range(50_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.time()
+    got = [tuple(s) for s in secrets.scan(docs).collect()[0].spans]
+    assert got == brute_spans(text) and len(got) == 60_000
+    assert time.time() - began < 60
+
+
+def test_many_rules(spark):
+    """More trigrams than fit a machine word."""
+    rules = (*secrets.RULES, *(secrets.Rule(f"key{k}", rf"k{k:03d}_live_[a-z]+", 8, base=False) for k in range(100)))
+    docs = spark.createDataFrame([(0, "k007_live_abc k099_live_x k042_lix"), (1, "AKIA" + "A1" * 8), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secrets.scan(docs, rules).collect()}
+    assert got == {0: [("key7", 0, 13), ("key99", 14, 25)], 1: [("access", 0, 20)], 2: []}
+
+
 def test_trigram_queries():
     assert secrets.trigram_query(r"AKIA[A-Z0-9]+") == frozenset({frozenset({"aki", "kia"})})
     assert secrets.trigram_query(r"[0-9a-f]{24,}") == secrets.ANY
