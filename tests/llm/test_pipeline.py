@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tracewright.llm import simhash
@@ -76,3 +77,24 @@ def test_odd_documents(spark, odd_docs, no_docs):
         assert stage(spark, docs, SF).count() > 0 and stage(spark, docs.limit(0), SF).count() == 0
     assert corpus_pipeline.language(spark, docs, SF).columns == docs.columns
     assert corpus_pipeline.language(spark, docs.limit(0), SF).count() == 0
+
+
+def test_odd_documents_in_the_later_stages(spark, odd_docs):
+    docs = odd_docs.select("doc_id", "text", "lang", "source", "n_chars")
+    mixed = corpus_pipeline.mix(spark, docs, SF)
+    assert mixed.columns == docs.columns and mixed.count() > 0 and corpus_pipeline.mix(spark, docs.limit(0), SF).count() == 0
+    packed = corpus_pipeline.pack(spark, docs, SF).collect()
+    assert sum(r.start == 0 for r in packed) == docs.count() and corpus_pipeline.pack(spark, docs.limit(0), SF).count() == 0
+
+
+def test_clashing_columns(spark, odd_docs):
+    """Names that stages use inside."""
+    names = ["__told", "__key", "__row", "__h1", "__h2", "__m", "__tokens", "__p0", "__text", "__hash", "rate", "domain", "kept", "label", "own", "told", "h1", "gone", "least", "c_text"]
+    docs = odd_docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for n in names:
+        docs = docs.withColumn(n, F.lit("x"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        for r in out.select(*names).distinct().collect():
+            assert tuple(r) == ("x",) * len(names)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import bound_batches, materialize, small, tidy
+from tracewright.llm.common import bound_batches, boxed, materialize, small, tidy
 
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (911_382_323, 972_663_749)
@@ -136,10 +136,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     dropped = materialize(found.filter(~F.col("kept")).select(row.alias("gone")))
     again = found.filter("kept").select(row.alias("gone")).join(dropped, "gone", "left_semi").distinct()  # a kept row whose id and text another row repeats
     both = materialize(again)
-    keyed = docs.withColumn("__row", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)))
+    keyed = boxed(docs, gone=F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)))
     lost = materialize(dropped.distinct())
     n, m = lost.count(), both.count()
-    out = keyed.join(small(lost.withColumnRenamed("gone", "__row"), n), "__row", "left_anti")
+    out = keyed.join(small(lost, n), "gone", "left_anti")
     if m:
-        out = out.unionByName(keyed.join(small(both.withColumnRenamed("gone", "__row"), m), "__row", "left_semi").dropDuplicates(["__row"]).select(*out.columns))
-    return out.select(*docs.columns)
+        out = out.unionByName(keyed.join(small(both, m), "gone", "left_semi").dropDuplicates(["gone"]).select(*out.columns))
+    return out.select("own.*")

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import bound_batches, materialize, small, tidy
+from tracewright.llm.common import bound_batches, boxed, materialize, small, tidy
 
 BITS = 64
 SEED = 42
@@ -489,11 +489,11 @@ def _labelled(texts: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, width: int, distance: int, likeness: float) -> tuple[DataFrame, DataFrame]:
-    """The distinct texts (__h1, __h2, least doc_id, rows, rep, label: the class) and docs with __h1, __h2 added.
+    """The distinct texts (h1, h2, least doc_id, rows, rep, label: the class) and the boxed docs with doc_id, text, h1, h2.
 
     Texts are named by a number of their own, so that null and repeated doc_ids don't matter."""
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumns({"__h1": F.xxhash64(text), "__h2": F.xxhash64(F.lit("second"), text)})
+    keyed = boxed(docs, doc_id=F.col("doc_id").cast("long"), text=text, h1=F.xxhash64(text), h2=F.xxhash64(F.lit("second"), text))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -501,7 +501,7 @@ def near_classes(docs: DataFrame, width: int, distance: int, likeness: float) ->
             fps = np.array([_bits(x) if len(x) else 0 for x in sets], dtype=np.uint64).view(np.int64)
             bands = np.array([bands_of(x) for x in sets], dtype=np.uint64).reshape(-1).view(np.int64)
             ends = pa.array(np.arange(0, len(bands) + 1, BANDS, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "__h1", "__h2")), pa.array([len(x) for x in sets], pa.int64()), pa.array(fps), pa.ListArray.from_arrays(ends, pa.array(bands))], names=["doc_id", "__h1", "__h2", "n", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "h1", "h2")), pa.array([len(x) for x in sets], pa.int64()), pa.array(fps), pa.ListArray.from_arrays(ends, pa.array(bands))], names=["doc_id", "h1", "h2", "n", "fp", "bands"])
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -509,28 +509,28 @@ def near_classes(docs: DataFrame, width: int, distance: int, likeness: float) ->
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "rep", "n")), pa.array(sets, pa.list_(pa.int64()))], names=["key", "rep", "n", "hashes"])
 
     bound_batches(docs.sparkSession)
-    rows = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "__h1", "__h2", text.alias("text")).mapInArrow(tidy(describe), "doc_id long, __h1 long, __h2 long, n long, fp long, bands array<long>")
-    grouped = rows.groupBy("__h1", "__h2").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"), *(F.first(c).alias(c) for c in ("n", "fp", "bands")))
+    rows = keyed.select("doc_id", "h1", "h2", "text").mapInArrow(tidy(describe), "doc_id long, h1 long, h2 long, n long, fp long, bands array<long>")
+    grouped = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"), *(F.first(c).alias(c) for c in ("n", "fp", "bands")))
     texts = materialize(grouped.withColumn("rep", F.monotonically_increasing_id()))  # written once, so the numbers stay
     blocks = in_chunks(texts.select(F.explode("bands").alias("key"), "rep", "fp"), "key", CROWD)
-    maybe = _labelled(texts.select("__h1", "__h2", "rep", "n"), block_links(blocks.select("part", "rep", "fp"), distance))
+    maybe = _labelled(texts.select("h1", "h2", "rep", "n"), block_links(blocks.select("part", "rep", "fp"), distance))
     several = maybe.groupBy("label").agg(F.count("*").alias("texts")).filter("texts > 1").select("label")
-    needed = materialize(maybe.join(small(materialize(several)), "label").select("__h1", "__h2", "rep", "n", F.col("label").alias("key")))
-    asked = keyed.select("__h1", "__h2", text.alias("text")).join(small(needed), ["__h1", "__h2"]).select("key", "rep", "n", "text")
+    needed = materialize(maybe.join(small(materialize(several)), "label").select("h1", "h2", "rep", "n", F.col("label").alias("key")))
+    asked = keyed.select("h1", "h2", "text").join(small(needed), ["h1", "h2"]).select("key", "rep", "n", "text")
     sets = asked.mapInArrow(tidy(shingle), "key long, rep long, n long, hashes array<long>").groupBy("rep").agg(*(F.first(c).alias(c) for c in ("key", "n", "hashes")))
     dealt = in_chunks(materialize(sets), "key", CROWD, CHUNK_SHINGLES).select("part", "rep", "hashes")
-    return _labelled(texts.select("__h1", "__h2", "least", "rows", "rep"), exact_links(dealt, likeness)), keyed
+    return _labelled(texts.select("h1", "h2", "least", "rows", "rep"), exact_links(dealt, likeness)), keyed
 
 
 def dedup(docs: DataFrame, width: int = 5, distance: int = NEAR, likeness: float = LIKENESS) -> DataFrame:
     """One row of each class of near copies, the one with the smallest doc_id (null ids come last), with all columns."""
     texts, keyed = near_classes(docs, width, distance, likeness)
     classes_of = texts.groupBy("label").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "rep")).alias("keep"), F.sum("rows").alias("all")).filter("all > 1")
-    touched = materialize(texts.join(classes_of, "label").select("__h1", "__h2", "least", (F.col("keep.rep") == F.col("rep")).alias("kept")))
-    kept = materialize(touched.filter("kept").select("__h1", "__h2", F.col("least").alias("__least")))
-    others = keyed.join(small(touched.select("__h1", "__h2")), ["__h1", "__h2"], "left_anti")
-    one = keyed.join(small(kept), ["__h1", "__h2"]).filter(F.col("doc_id").cast("long").eqNullSafe(F.col("__least"))).dropDuplicates(["__h1", "__h2"])
-    return others.select(*docs.columns).unionByName(one.select(*docs.columns))
+    touched = materialize(texts.join(classes_of, "label").select("h1", "h2", "least", (F.col("keep.rep") == F.col("rep")).alias("kept")))
+    kept = materialize(touched.filter("kept").select("h1", "h2", "least"))
+    others = keyed.join(small(touched.select("h1", "h2")), ["h1", "h2"], "left_anti")
+    one = keyed.join(small(kept), ["h1", "h2"]).filter(F.col("doc_id").eqNullSafe(F.col("least"))).dropDuplicates(["h1", "h2"])
+    return others.select("own.*").unionByName(one.select("own.*"))
 
 
 def fingerprint_text(fp: str = "fp"):
