@@ -56,3 +56,9 @@ def test_pushdown(spark, capsys):
     assert "props" not in plan.split("ReadSchema")[1].split("\n")[0]
     catalog.p15_id_filter(spark, SF).explain("formatted")
     assert "GreaterThan(p_name,m)" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+def test_no_cross_joins(spark, name):
+    plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -25,11 +25,10 @@ def video_scale(scales: DataFrame, clip: Sequence[str] = ()) -> DataFrame:
 
 
 def align_video(pixels: DataFrame, frame: Sequence[str], known: str, pred: str, clip: Sequence[str] = ()) -> DataFrame:
-    """Pixels with pred multiplied by the clip's scale. A clip is one row of the side that is joined."""
-    key = list(clip) or ["__all"]
-    rows = pixels if clip else pixels.withColumn("__all", F.lit(0))
-    joined = rows.join(video_scale(frame_scales(rows, [*key, *frame], known, pred), key), key)
-    return joined.withColumn("aligned", F.col(pred) * F.col("scale")).drop("__all")
+    """Pixels with pred multiplied by the clip's scale. A clip is one row of the side that is joined; without clips the scale is a scalar."""
+    scales = video_scale(frame_scales(pixels, [*clip, *frame], known, pred), clip)
+    scaled = pixels.join(scales, list(clip)) if clip else pixels.withColumn("scale", scales.scalar())
+    return scaled.withColumn("aligned", F.col(pred) * F.col("scale"))
 
 
 def kth_values(rows: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
@@ -52,11 +51,11 @@ def within_roi(rows: DataFrame, roi: DataFrame, by: Sequence[str], value: str) -
 
 def stretch_uint16(rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Valid depths stretched to 0..65535 of their group, truncated; 32767 where all are equal, 0 where invalid."""
-    group = Window.partitionBy(*by)
     valid = positive(F.col(value))
-    low, high = F.min(valid).over(group), F.max(valid).over(group)
+    ends = rows.groupBy(*by).agg(F.min(valid).alias("__low"), F.max(valid).alias("__high"))
+    low, high = F.col("__low"), F.col("__high")
     unit = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(value) - low) / F.nullif(high - low, F.lit(0.0))))
-    return rows.withColumn("stretched", F.when(valid.isNull(), 0).when(high == low, 32767).otherwise(F.floor(unit * 65535)).cast("int"))
+    return rows.join(ends, list(by)).withColumn("stretched", F.when(valid.isNull(), 0).when(high == low, 32767).otherwise(F.floor(unit * 65535)).cast("int")).drop("__low", "__high")
 
 
 def nan_as_null(value: Column) -> Column:

@@ -136,11 +136,15 @@ def nearest_fill(cells: DataFrame, by: Sequence[str], u: str, v: str, value: str
         gaps = p[value].isna().to_numpy()
         if known.empty or not gaps.any():
             return out
-        at = known[[v, u]].to_numpy(float)
-        for k in np.nonzero(gaps)[0]:  # the filled cells stay in one array; a frame has bounded size
-            d = (at[:, 0] - p[v].iat[k]) ** 2 + (at[:, 1] - p[u].iat[k]) ** 2
-            j = int(np.argmin(d))
-            out.loc[k, value], out.loc[k, "distance"] = known[value].iat[j], float(np.sqrt(d[j]))
+        at, values = known[[v, u]].to_numpy(float), known[value].to_numpy(float)
+        wanted = p.loc[gaps, [v, u]].to_numpy(float)
+        filled, far = np.empty(len(wanted)), np.empty(len(wanted))
+        block = max(1, (1 << 20) // len(at))
+        for k in range(0, len(wanted), block):
+            d = ((wanted[k : k + block, None, :] - at[None, :, :]) ** 2).sum(axis=2)
+            j = d.argmin(axis=1)  # the first of equals
+            filled[k : k + block], far[k : k + block] = values[j], np.sqrt(d[np.arange(len(j)), j])
+        out.loc[gaps, value], out.loc[gaps, "distance"] = filled, far
         return out
 
     return cells.select(*keys, u, v, value).groupBy(*keys).applyInPandas(fill, f"{_names(cells, [*keys, u, v])}, `{value}` double, distance double")

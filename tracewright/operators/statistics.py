@@ -115,18 +115,22 @@ def digest_mod(value: Column, modulus: int) -> Column:
     return out
 
 
-def weighted_choice(draws: DataFrame, unit: str, weights: DataFrame, name: str, weight: str, order: str) -> DataFrame:
-    """For each number in [0, 1) the item in whose share of the summed weights it falls. The items are a short list of datasets: they are folded into one array, which every draw searches."""
-    items = weights.groupBy(F.lit(0).alias("__all")).agg(F.sort_array(F.collect_list(F.struct(order, F.col(weight).cast("double").alias("w"), F.col(name).alias("n")))).alias("__items"), F.sum(weight).cast("double").alias("__sum"))
-    start = F.struct(F.lit(0.0).alias("upto"), F.lit(None).cast(weights.schema[name].dataType).alias("n"))
-
-    def step(a: Column, item: Column) -> Column:
-        upto = a["upto"] + item["w"]
-        inside = a["n"].isNull() & (F.col(unit) < upto / F.col("__sum"))
-        return F.struct(upto.alias("upto"), F.when(inside, item["n"]).otherwise(a["n"]).alias("n"))
-
-    both = draws.withColumn("__all", F.lit(0)).join(F.broadcast(items), "__all")  # one row
-    return both.withColumn(name, F.aggregate("__items", start, step)["n"]).drop("__all", "__items", "__sum")
+def weighted_choice(draws: DataFrame, unit: str, weights: DataFrame, name: str, weight: str, order: str, cells: int = 1024) -> DataFrame:
+    """For each number in [0, 1) the item in whose share of the summed weights it falls. Shares are cut into cells of [0, 1), so that the join is on
+    equality; only the running sum over the items (a list of datasets) is in one task."""
+    along = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    upto = weights.select(F.col(name), F.col(weight).cast("double").alias("__w"), F.sum(weight).over(along).cast("double").alias("__upto")).withColumn("__sum", weights.agg(F.sum(weight).cast("double")).scalar())
+    shares = upto.select(name, ((F.col("__upto") - F.col("__w")) / F.col("__sum")).alias("__from"), (F.col("__upto") / F.col("__sum")).alias("__to"))
+    cut = shares.withColumn("__cell", F.explode(F.sequence(F.floor(F.col("__from") * cells), F.least(F.floor(F.col("__to") * cells), F.lit(cells - 1)))))
+    at = draws.withColumn("__cell", F.floor(F.col(unit) * cells))
+    return at.join(cut, "__cell").filter((F.col(unit) >= F.col("__from")) & (F.col(unit) < F.col("__to"))).drop("__cell", "__from", "__to")
+
+
+def uniform_choice(drawn: DataFrame, by: str, unit: str, files: DataFrame, name: str) -> DataFrame:
+    """E07, second draw: of the chosen set's files in order the one at floor(unit * n)."""
+    places = files.groupBy(by).agg(F.count("*").alias("__n"))
+    listed = files.withColumn("__pos", F.row_number().over(Window.partitionBy(by).orderBy(name)) - 1)
+    return drawn.join(places, by).withColumn("__pos", F.floor(F.col(unit) * F.col("__n")).cast("int")).join(listed, [by, "__pos"]).drop("__n", "__pos")
 
 
 def round_robin(index: Column, devices: Sequence[str]) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions import geometry as g
 from tracewright.functions import text as x
-from tracewright.operators import depth, fitting, matching, projection, quality, retarget, segments, statistics, transforms
+from tracewright.operators import depth, fitting, matching, measures, projection, quality, retarget, segments, statistics, transforms
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,22 +52,22 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("l_suppkey").alias("frame"), "l_orderkey", "l_partkey", "l_linenumber", F.col("l_extendedprice").alias("known"), (F.col("l_quantity") * F.col("p_retailprice")).alias("pred"), "l_quantity", "l_discount")
 
 
-TR = "tr AS (SELECT label AS clip, vec_id AS track, s AS step, CAST(embedding[2*s+1] AS DOUBLE) AS x, CAST(embedding[2*s+2] AS DOUBLE) AS y FROM embeddings, range(32) t(s))"
+TR = "tr AS MATERIALIZED (SELECT label AS clip, vec_id AS track, s AS step, CAST(embedding[2*s+1] AS DOUBLE) AS x, CAST(embedding[2*s+2] AS DOUBLE) AS y FROM embeddings, range(32) t(s))"
 EV = "ev AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos FROM events)"
 PX = "px AS (SELECT l_suppkey AS frame, l_orderkey, l_partkey, l_linenumber, l_extendedprice AS known, l_quantity * p_retailprice AS pred, l_quantity, l_discount FROM lineitem JOIN part ON l_partkey = p_partkey)"
-NORM = f"""{TR}, sc AS (SELECT clip, CASE WHEN abs(x) < 1e-12 THEN 1 ELSE x END AS sx, CASE WHEN abs(y) < 1e-12 THEN 1 ELSE y END AS sy FROM tr
-    WHERE step = 0 AND track = (SELECT max(t.track) FROM tr t WHERE t.clip = tr.clip)),
+NORM = f"""{TR}, sc AS MATERIALIZED (SELECT clip, CASE WHEN abs(x) < 1e-12 THEN 1 ELSE x END AS sx, CASE WHEN abs(y) < 1e-12 THEN 1 ELSE y END AS sy
+    FROM (SELECT *, row_number() OVER (PARTITION BY clip ORDER BY track DESC) AS back FROM tr WHERE step = 0) WHERE back = 1),
   nm AS (SELECT clip, track, step, greatest(0.0, least(1.0, x / sx)) AS x, greatest(0.0, least(1.0, y / sy)) AS y, sx, sy FROM tr JOIN sc USING (clip)),
   sg AS (SELECT *, lead(x) OVER o AS x1, lead(y) OVER o AS y1 FROM nm WINDOW o AS (PARTITION BY clip, track ORDER BY step)),
-  ln AS (SELECT *, sqrt((x1 - x) ** 2 + (y1 - y) ** 2) AS length FROM sg WHERE x1 IS NOT NULL)"""
+  ln AS MATERIALIZED (SELECT *, sqrt((x1 - x) ** 2 + (y1 - y) ** 2) AS length FROM sg WHERE x1 IS NOT NULL)"""
 ROBUST = """rk AS (SELECT clip, step, length, row_number() OVER (PARTITION BY clip, step ORDER BY length DESC, track) AS k, count(*) OVER (PARTITION BY clip, step) AS n FROM ln),
   rb AS (SELECT clip, step, avg(length) AS length FROM rk WHERE k <= greatest(1, ceil({top} * n)) GROUP BY clip, step),
   cu AS (SELECT *, sum(length) OVER (PARTITION BY clip ORDER BY step) AS ends FROM rb),
-  sp AS (SELECT *, coalesce(lag(ends) OVER (PARTITION BY clip ORDER BY step), 0.0) AS begins FROM cu)"""
+  sp AS MATERIALIZED (SELECT *, coalesce(lag(ends) OVER (PARTITION BY clip ORDER BY step), 0.0) AS begins FROM cu)"""
 TARGETS = """tot AS (SELECT clip, max(ends) AS total FROM sp GROUP BY clip),
-  cnt AS (SELECT *, least(floor(total / {interval}) + 1, {most})::INT AS samples FROM tot),
+  cnt AS MATERIALIZED (SELECT *, least(floor(total / {interval}) + 1, {most})::INT AS samples FROM tot),
   tg AS (SELECT clip, sample, CASE WHEN sample = samples - 1 THEN least(sample * {interval}::DOUBLE, total) ELSE sample * {interval}::DOUBLE END AS target FROM (SELECT clip, total, samples, unnest(range(samples)) AS sample FROM cnt)),
-  ch AS (SELECT clip, sample, target, max(step) AS step FROM tg JOIN sp USING (clip) WHERE begins <= target GROUP BY ALL),
+  ch AS MATERIALIZED (SELECT clip, sample, target, max(step) AS step FROM tg JOIN sp USING (clip) WHERE begins <= target GROUP BY clip, sample, target),
   al AS (SELECT ch.clip, sample, ch.step, (target - begins) / greatest(length, 1e-12) AS alpha FROM ch JOIN sp ON sp.clip = ch.clip AND sp.step = ch.step)"""
 
 
@@ -1072,8 +1072,7 @@ def a46_anchor_sampling_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("WITH s AS (SELECT l_suppkey, least(5.0, abs(l_tax - l_discount) * 20) AS rr FROM lineitem), d AS (SELECT *, stddev_samp(rr) OVER (PARTITION BY l_suppkey) AS s FROM s) SELECT l_suppkey, round(avg(exp(-1 * ((0.5 - rr) ** 2) / (2 * s * s))), 6) + 0.0 AS weight FROM d GROUP BY l_suppkey")
 def a48_gaussian_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select("l_suppkey", F.least(F.lit(5.0), F.abs(F.col("l_tax") - F.col("l_discount")) * 20).alias("rr"))
-    s = F.stddev_samp("rr").over(segments.Window.partitionBy("l_suppkey"))
-    return rows.withColumn("w", F.exp(-F.pow(F.lit(0.5) - F.col("rr"), F.lit(2)) / (2 * s * s))).groupBy("l_suppkey").agg(r(F.avg("w")).alias("weight"))
+    return measures.gaussian_weights(rows, ["l_suppkey"], "rr").groupBy("l_suppkey").agg(r(F.avg("weight")).alias("weight"))
 
 
 @query("SELECT l_suppkey, round(sum(abs(l_tax - l_discount) * CAST(l_quantity > 10 AS DOUBLE)) / nullif(sum(CAST(l_quantity > 10 AS DOUBLE)), 0), 6) + 0.0 AS loss FROM lineitem GROUP BY l_suppkey")
@@ -1132,9 +1131,9 @@ def g03_project_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {PT}, f AS (SELECT arg_min(x, vec_id) AS x0, arg_min(y, vec_id) AS y0, arg_min(z, vec_id) AS z0 FROM p) SELECT vec_id, round(x - x0, 6) + 0.0 AS x, round(y - y0, 6) + 0.0 AS y, round(z - z0, 6) + 0.0 AS z FROM p, f")
 def g08_first_frame_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _points(spark, sf_dir)
-    first = p.groupBy(F.lit(0).alias("all")).agg(F.min_by(F.struct("x", "y", "z"), "vec_id").alias("o"))  # one row
+    first = p.agg(F.min_by(F.struct("x", "y", "z"), "vec_id").alias("o")).scalar()
     m = F.array(*(F.lit(float(i == j)) if j < 3 else (-F.col(f"o.{'xyz'[i]}") if i < 3 else F.lit(1.0)) for i in range(4) for j in range(4)))
-    moved = p.withColumn("all", F.lit(0)).join(F.broadcast(first), "all").withColumn("m", m)
+    moved = p.withColumn("o", first).withColumn("m", m)
     return moved.select("vec_id", *(r(c).alias(n) for n, c in zip("xyz", g.relative_pose(F.col("m"), _xyz()), strict=True)))
 
 
@@ -1276,9 +1275,9 @@ def g09_batch_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {PT}, t AS (SELECT vec_id, x, y, z, s AS frame FROM p, range(3) f(s)) SELECT vec_id, frame, round((500 * (0.8 * x - 0.6 * y + 0.1 + frame) + 320 * (z + 3.0)) / (z + 3.0 + 1e-8), 5) + 0.0 AS u, z + 3.0 > 0 AS visible FROM t")
 def g23_track_from_cam(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _points(spark, sf_dir).select(F.lit(0).alias("clip"), "vec_id", *(F.col(c).alias(c.upper()) for c in "xyz"))
-    moved = F.transform(g.matrix(W2C), lambda v, i: F.when(i == 3, v + F.col("id")).otherwise(v))
-    cameras = spark.range(3).select(F.lit(0).alias("clip"), F.col("id").alias("frame"), g.matrix(K).alias("k"), moved.alias("w2c"))
+    p = _points(spark, sf_dir).select((F.col("vec_id") % 10).alias("clip"), "vec_id", *(F.col(c).alias(c.upper()) for c in "xyz"))
+    moved = F.transform(g.matrix(W2C), lambda v, i: F.when(i == 3, v + F.col("id") % 3).otherwise(v))
+    cameras = spark.range(30).select(F.floor(F.col("id") / 3).alias("clip"), (F.col("id") % 3).alias("frame"), g.matrix(K).alias("k"), moved.alias("w2c"))
     return projection.static_tracks(p, cameras, ["clip"]).select("vec_id", "frame", r("u", 5).alias("u"), "visible")
 
 

@@ -81,11 +81,12 @@ def _unfiltered(raw: bytes, height: int, stride: int, unit: int) -> np.ndarray:
         if kind in (0, 2):
             now[unit:] = line if kind == 0 else (line + above[unit:]) & 255
             continue
+        if kind == 1:  # sums along the line, a byte of the pixel at a time
+            now[unit:] = (np.cumsum(line.reshape(-1, unit).astype(np.int64), axis=0) & 255).ravel()
+            continue
         for x in range(stride):
-            left, up, corner = now[x], above[x + unit], above[x]
-            if kind == 1:
-                guess = left
-            elif kind == 3:
+            left, up, corner = int(now[x]), int(above[x + unit]), int(above[x])
+            if kind == 3:
                 guess = (left + up) // 2
             else:
                 p = left + up - corner
@@ -99,18 +100,21 @@ def decode_png(content: bytes) -> np.ndarray:
     """(H, W) or (H, W, channels) of a PNG of 8 or 16 bits, grey, RGB or with alpha, not interlaced."""
     if not content.startswith(PNG):
         raise ValueError("not a PNG")
-    at, data, head = len(PNG), b"", b""
+    at, data, head = len(PNG), [], b""
     while at < len(content):
         size, kind = struct.unpack(">I4s", content[at : at + 8])
         body = content[at + 8 : at + 8 + size]
-        head, data = (body, data) if kind == b"IHDR" else (head, data + body if kind == b"IDAT" else data)
+        if kind == b"IHDR":
+            head = body
+        elif kind == b"IDAT":
+            data.append(body)
         at += size + 12
     width, height, bits, colour, _, _, interlaced = struct.unpack(">IIBBBBB", head)
     channels = {0: 1, 2: 3, 4: 2, 6: 4}.get(colour)
     if bits not in (8, 16) or channels is None or interlaced:
         raise ValueError(f"PNG of {bits} bits, colour type {colour}, interlace {interlaced} is not read")
     unit = channels * bits // 8
-    flat = _unfiltered(zlib.decompress(data), height, width * unit, unit)
+    flat = _unfiltered(zlib.decompress(b"".join(data)), height, width * unit, unit)
     pixels = flat.reshape(-1).view(">u2").astype(np.uint16) if bits == 16 else flat.reshape(-1)
     return pixels.reshape((height, width) if channels == 1 else (height, width, channels))
 
