@@ -95,6 +95,13 @@ def inferred(value: Column) -> Column:
     return F.when(value.try_cast("bigint").isNotNull() & value.rlike(r"^\s*[+-]?[0-9]+\s*$"), "int").when(value.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"), "float").when(F.lower(value).isin("true", "false"), "bool").otherwise("str")
 
 
+def parsed_list(value: Column) -> Column:
+    """The numbers of a written list, with or without brackets; true and false count as 1 and 0, other words as null."""
+    items = F.split(F.regexp_replace(value, r"[\[\]() ]", ""), ",")
+    number = lambda t: F.when(F.lower(t) == "true", 1.0).when(F.lower(t) == "false", 0.0).otherwise(t.try_cast("double"))
+    return F.transform(items, number)
+
+
 def mime(path: Column) -> Column:
     """X10."""
     return F.when(suffix(path) == ".png", "image/png").when(suffix(path).isin(".jpg", ".jpeg"), "image/jpeg").when(suffix(path) == ".bmp", "image/bmp").otherwise("application/octet-stream")

@@ -5,11 +5,15 @@ Poses are arrays of 16 numbers, row by row. Groups are frames or clips; aggregat
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewright.functions import geometry
+from tracewright.operators.matching import k_nearest
+
 
 # losses
 
@@ -80,10 +84,10 @@ def largest_gap(a: Column, b: Column) -> Column:
 
 
 def transform_errors(rows: DataFrame, by: Sequence[str], pos: str, state: str, delta: str) -> DataFrame:
-    """Mean and greatest error, over a group's consecutive poses, of three rules: previous times delta, delta times previous, and delta alone as the new pose."""
+    """Mean and greatest error, over a group's consecutive poses, of three rules: previous times delta, delta times previous, previous times the inverse of delta."""
     before = F.lag(state).over(Window.partitionBy(*by).orderBy(pos))
     pairs = rows.select(*by, F.col(state).alias("__now"), F.col(delta).alias("__delta"), before.alias("__prev")).filter("__prev IS NOT NULL")
-    rules = {"prev_delta": product(F.col("__prev"), F.col("__delta")), "delta_prev": product(F.col("__delta"), F.col("__prev")), "delta": F.col("__delta")}
+    rules = {"prev_delta": product(F.col("__prev"), F.col("__delta")), "delta_prev": product(F.col("__delta"), F.col("__prev")), "prev_inverse": product(F.col("__prev"), geometry.inverse_se3(F.col("__delta")))}
     errors = pairs.select(*by, *(largest_gap(F.col("__now"), m).alias(n) for n, m in rules.items()))
     return errors.groupBy(*by).agg(*(f(n).alias(f"{kind}_{n}") for n in rules for kind, f in (("mean", F.avg), ("max", F.max))))
 
@@ -110,26 +114,25 @@ def static_points(probability: Column, visibility: Column, u: Column, v: Column,
     return (probability < 0.5) & (visibility > 0.5) & (u >= 0) & (u < width) & (v >= 0) & (v < height)
 
 
-# Shares of the height and width that evaluations of depth crop to.
-CROPS = {"garg": (0.40810811, 0.99189189, 0.03594771, 0.96405229), "eigen": (0.3324324, 0.91351351, 0.0359477, 0.96405229)}
+# Shares of the height and width, or pixels, that evaluations of depth crop to (top, bottom, left, right).
+CROPS = {"garg": (0.40810811, 0.99189189, 0.03594771, 0.96405229), "eigen_kitti": (0.3324324, 0.91351351, 0.0359477, 0.96405229), "eigen": (45, 471, 41, 601)}
 
 
 def eval_crop(kind: str, u: Column, v: Column, depth: Column, width: int, height: int, low: float, high: float) -> Column:
     """P25: inside a named crop of the image, with a depth strictly between the ends."""
-    top, bottom, left, right = CROPS[kind]
-    return (v >= int(top * height)) & (v < int(bottom * height)) & (u >= int(left * width)) & (u < int(right * width)) & (depth > low) & (depth < high)
-
+    sizes = (height, height, width, width)
+    top, bottom, left, right = (x if isinstance(x, int) else int(x * n) for x, n in zip(CROPS[kind], sizes, strict=True))
+    return (v >= top) & (v < bottom) & (u >= left) & (u < right) & (depth > low) & (depth < high)
 
-def topology_mask(cells: DataFrame, by: Sequence[str], u: str, v: str, value: str, reach: int = 3, tolerance: float = 0.05, least: int = 9) -> DataFrame:
-    """Cells of which more than `least` cells of the square around them (themselves left out) differ by no more than a share of their own depth.
 
-    Every cell is sent to those around it, so one shuffle does."""
-    d = F.sequence(F.lit(-reach), F.lit(reach))
-    sent = cells.select(*by, F.col(u).alias("__u"), F.col(v).alias("__v"), F.col(value).alias("__d"), F.explode(d).alias("__du")).withColumn("__dv", F.explode(d))
-    at = sent.select(*by, (F.col("__u") + F.col("__du")).alias(u), (F.col("__v") + F.col("__dv")).alias(v), "__d", ((F.col("__du") == 0) & (F.col("__dv") == 0)).alias("__own"))
-    met = at.groupBy(*by, u, v).agg(F.max(F.when(F.col("__own"), F.col("__d"))).alias(value), F.collect_list(F.when(~F.col("__own"), F.col("__d"))).alias("__near")).filter(F.col(value).isNotNull())
-    alike = F.size(F.filter("__near", lambda x: F.abs(x - F.col(value)) <= tolerance * F.abs(value)))
-    return met.withColumn("alike", alike).withColumn("kept", F.col("alike") > least).drop("__near")
+def topology_mask(points: DataFrame, by: Sequence[str], key: str, vector: str, depth: str, lifted: str, k: int = 48, least: int = 9, tolerance: float = 0.4) -> DataFrame:
+    """Points of which more than `least` of the k nearest in their frame are as far away in depth as they are in lifted depth, within a share."""
+    near = k_nearest(points, points, by, key, vector, k).select(*by, "query", "neighbour")
+    own = points.select(*by, F.col(key).alias("query"), F.col(depth).alias("__d"), F.col(lifted).alias("__l"))
+    other = points.select(*by, F.col(key).alias("neighbour"), F.col(depth).alias("__nd"), F.col(lifted).alias("__nl"))
+    met = near.join(own, [*by, "query"]).join(other, [*by, "neighbour"])
+    alike = F.abs(F.abs(F.col("__nd") - F.col("__d")) / (F.abs(F.col("__nl") - F.col("__l")) + 1e-8) - 1) < tolerance
+    return met.groupBy(*by, F.col("query").alias(key)).agg(F.count_if(alike).alias("alike")).withColumn("kept", F.col("alike") > least)
 
 
 def dilate(cells: DataFrame, by: Sequence[str], u: str, v: str, mask: str, reach: int = 1) -> DataFrame:
@@ -161,3 +164,97 @@ def normals(cells: DataFrame, by: Sequence[str], u: str, v: str, axes: Sequence[
     size = F.sqrt(F.col("__n0") * F.col("__n0") + F.col("__n1") * F.col("__n1") + F.col("__n2") * F.col("__n2"))
     out = total.withColumn("__size", size)
     return out.select(*cells.columns, *((F.col(f"__n{k}") / F.nullif(F.col("__size"), F.lit(0.0))).alias(f"n{a}") for k, a in enumerate(axes)))
+
+
+# grids
+
+
+def view_plane_uv(i: Column, j: Column, width: int, height: int, aspect: float | None = None) -> tuple[Column, Column]:
+    """The place of pixel (i, j) on a plane whose corners lie at distance 1 from its middle."""
+    a = aspect or width / height
+    across, down = a / (1 + a * a) ** 0.5, 1 / (1 + a * a) ** 0.5
+    place = lambda k, n, span: (2.0 * k / max(1, n - 1) - 1) * (span * (n - 1) / n)
+    return place(i, width, across), place(j, height, down)
+
+
+def resize_nearest(cells: DataFrame, by: Sequence[str], u: str, v: str, size: tuple[int, int], to: tuple[int, int]) -> DataFrame:
+    """Each cell (u', v') of the new grid is the old one at floor((u' + 0.5) * old / new); sizes are (width, height)."""
+
+    def picked(c: str, m: int, n: int) -> Column:
+        source = lambda k: F.floor((k + 0.5) * m / n)
+        return F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: source(k) == F.col(c))
+
+    wide = cells.withColumn("__u", F.explode(picked(u, size[0], to[0]))).withColumn("__v", F.explode(picked(v, size[1], to[1])))
+    return wide.withColumns({u: F.col("__u"), v: F.col("__v")}).drop("__u", "__v")
+
+
+def resize_bilinear(cells: DataFrame, by: Sequence[str], u: str, v: str, value: str, size: tuple[int, int], to: tuple[int, int]) -> DataFrame:
+    """Bilinear by half-pixel centres over the valid cells alone: sums of weighted values over sums of weights; every old cell is sent to the new ones that it touches."""
+
+    def touched(c: str, m: int, n: int) -> Column:
+        centre = lambda k: F.greatest(F.lit(0.0), F.least(F.lit(float(m - 1)), (k + 0.5) * (m / n) - 0.5))
+        weights = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.struct(k.alias("to"), F.greatest(F.lit(0.0), 1 - F.abs(centre(k) - F.col(c))).alias("w")))
+        return F.filter(weights, lambda t: t["w"] > 0)
+
+    valid = cells.filter(F.col(value).isNotNull())
+    sent = valid.withColumn("__u", F.explode(touched(u, size[0], to[0]))).withColumn("__v", F.explode(touched(v, size[1], to[1])))
+    w = F.col("__u.w") * F.col("__v.w")
+    return sent.groupBy(*by, F.col("__u.to").alias(u), F.col("__v.to").alias(v)).agg((F.sum(F.col(value) * w) / F.sum(w)).alias(value))
+
+
+def blur_depth(cells: DataFrame, by: Sequence[str], u: str, v: str, value: str, reach: int, sigma: float) -> DataFrame:
+    """U03e: a Gaussian blur over the grid's cells (weights of absent cells are left out); what was zero stays zero."""
+    weights = [(d, math.exp(-d * d / (2 * sigma * sigma))) for d in range(-reach, reach + 1)]
+    steps = F.array(*(F.struct(F.lit(d).alias("d"), F.lit(w).alias("w")) for d, w in weights))
+    sent = cells.select(*by, F.col(u).alias("__u"), F.col(v).alias("__v"), F.col(value).alias("__x"), F.explode(steps).alias("__a")).withColumn("__b", F.explode(steps))
+    own = (F.col("__a.d") == 0) & (F.col("__b.d") == 0)
+    w = F.col("__a.w") * F.col("__b.w")
+    out = sent.groupBy(*by, (F.col("__u") + F.col("__a.d")).alias(u), (F.col("__v") + F.col("__b.d")).alias(v)).agg((F.sum(F.col("__x") * w) / F.sum(w)).alias("__s"), F.max(F.when(own, F.col("__x"))).alias(value))
+    return out.filter(F.col(value).isNotNull()).withColumn(value, F.when(F.col(value) > 0, F.col("__s")).otherwise(F.lit(0.0))).drop("__s")
+
+
+def radius_weights(points: DataFrame, by: Sequence[str], key: str, axes: Sequence[str], radius: float) -> DataFrame:
+    """One over the number of points within the radius, itself included. Points are sent to the cells around their own, so the join is on equality; the work grows with the points of a cell."""
+    cell = [F.floor(F.col(a) / radius) for a in axes]
+    around = F.sequence(F.lit(-1), F.lit(1))
+    sent = points.select(*by, *(F.col(a).alias(f"__o{k}") for k, a in enumerate(axes)), *(c.alias(f"__c{k}") for k, c in enumerate(cell)))
+    for k in range(len(axes)):
+        sent = sent.withColumn("__step", F.explode(around)).withColumn(f"__c{k}", F.col(f"__c{k}") + F.col("__step")).drop("__step")
+    mine = points.select(*by, key, *axes, *(c.alias(f"__c{k}") for k, c in enumerate(cell)))
+    far = sum((F.pow(F.col(a) - F.col(f"__o{k}"), F.lit(2)) for k, a in enumerate(axes)), F.lit(0.0))
+    met = mine.join(sent, [*by, *(f"__c{k}" for k in range(len(axes)))]).filter(far <= radius * radius)
+    return met.groupBy(*by, key).agg((1.0 / F.count("*")).alias("weight"))
+
+
+def to_local(points: DataFrame, cameras: DataFrame, frame: Sequence[str], axes: Sequence[str] = ("x", "y", "z"), w2c: str = "w2c") -> DataFrame:
+    """U03g: world points in the camera of their own frame, whose pose becomes the identity."""
+    met = points.join(cameras.select(*frame, w2c), list(frame))
+    local = geometry.apply_extrinsics(F.col(w2c), tuple(F.col(a) for a in axes))
+    identity = F.array(*(F.lit(float(k % 5 == 0)) for k in range(16)))
+    return met.withColumns({**dict(zip(axes, local, strict=True)), w2c: identity})
+
+
+# records
+
+
+def action_blocks(rows: DataFrame, actions: str, blocks: dict[str, tuple[int, int]]) -> DataFrame:
+    """Of each block of an action's numbers (first, count) the range, mean and population deviation over all of them."""
+    each = [F.struct(F.lit(n).alias("block"), F.slice(actions, first + 1, count).alias("v")) for n, (first, count) in blocks.items()]
+    flat = rows.select(F.explode(F.array(*each)).alias("b")).select("b.block", F.explode("b.v").alias("v")).withColumn("v", F.col("v").cast("double"))
+    return flat.groupBy("block").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
+
+
+def value_counts(rows: DataFrame, value: str) -> DataFrame:
+    """Distinct values (of a gripper) and how often each occurs."""
+    return rows.groupBy(value).agg(F.count("*").alias("n"))
+
+
+def all_or_none(value: Column | str) -> Column:
+    """Whether an optional field is there in all rows of a group or in none."""
+    return F.count(value).isin(0) | (F.count(value) == F.count("*"))
+
+
+def key_averages(rows: DataFrame, by: Sequence[str], record: str) -> DataFrame:
+    """The mean of each key of maps of numbers, keys with dots for nested ones; NaN is passed over."""
+    flat = rows.select(*by, F.explode(record).alias("key", "__v")).filter(~F.isnan("__v"))
+    return flat.groupBy(*by, "key").agg(F.avg("__v").alias("mean"), F.count("*").alias("n"))

@@ -1312,3 +1312,183 @@ def g26_focal_shift_solve(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _fit_rows(spark, sf_dir).select("clip", F.col("a").alias("x"), F.col("b").alias("y"), (F.abs("c") + 0.5).alias("z"))
     seen = p.withColumns({"u": 1.3 * F.col("x") / (F.col("z") + 2), "v": 1.3 * F.col("y") / (F.col("z") + 2)})
     return projection.focal_and_shift(seen, ["clip"]).select("clip", r("focal", 3).alias("focal"), r("shift", 3).alias("shift"))
+
+
+# measures
+
+
+MOTION = f"""{EV}, po AS (SELECT user_id, pos, value / 100 AS a, value / 50 AS tx, (pos % 7) * 0.1 AS ty, value / 300 AS d, value / 200 AS dy FROM ev),
+    pr AS (SELECT *, lag(a) OVER o AS pa, lag(tx) OVER o AS px, lag(ty) OVER o AS py FROM po WINDOW o AS (PARTITION BY user_id ORDER BY pos))"""
+
+
+def _poses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def turned(angle: Column, x: Column, y: Column, z: float) -> Column:
+        c, s, one, nil = F.cos(angle), F.sin(angle), F.lit(1.0), F.lit(0.0)
+        return measures.pose_of([c, -s, nil, s, c, nil, nil, nil, one], [x, y, F.lit(z)])
+
+    v = F.col("value")
+    return steps(spark, sf_dir).select("user_id", "pos", turned(v / 100, v / 50, (F.col("pos") % 7) * 0.1, 0.5).alias("state"), turned(v / 300, F.lit(0.1), v / 200, 0.02).alias("delta"))
+
+
+@query(f"""WITH {MOTION}, e AS (SELECT user_id,
+      greatest(abs(cos(a) - cos(pa + d)), abs(sin(a) - sin(pa + d)), abs(tx - (cos(pa) * 0.1 - sin(pa) * dy + px)), abs(ty - (sin(pa) * 0.1 + cos(pa) * dy + py)), 0.02) AS e1,
+      greatest(abs(cos(a) - cos(pa + d)), abs(sin(a) - sin(pa + d)), abs(tx - (cos(d) * px - sin(d) * py + 0.1)), abs(ty - (sin(d) * px + cos(d) * py + dy)), 0.02) AS e2,
+      greatest(abs(cos(a) - cos(pa - d)), abs(sin(a) - sin(pa - d)), abs(tx - (cos(pa) * ix - sin(pa) * iy + px)), abs(ty - (sin(pa) * ix + cos(pa) * iy + py)), 0.02) AS e3
+      FROM (SELECT *, -(cos(d) * 0.1 + sin(d) * dy) AS ix, -(cos(d) * dy - sin(d) * 0.1) AS iy FROM pr WHERE pa IS NOT NULL))
+    SELECT user_id, round(avg(e1), 6) + 0.0 AS mean_prev_delta, round(max(e1), 6) + 0.0 AS max_prev_delta, round(avg(e2), 6) + 0.0 AS mean_delta_prev, round(max(e2), 6) + 0.0 AS max_delta_prev,
+      round(avg(e3), 6) + 0.0 AS mean_prev_inverse, round(max(e3), 6) + 0.0 AS max_prev_inverse FROM e GROUP BY user_id""")
+def a20_pose_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = measures.transform_errors(_poses(spark, sf_dir), ["user_id"], "pos", "state", "delta")
+    return out.select("user_id", *(r(c).alias(c) for c in out.columns if c != "user_id"))
+
+
+@query(f"""WITH {MOTION}, an AS (SELECT *, sum(d) OVER (PARTITION BY user_id ORDER BY pos) AS ang FROM pr)
+    SELECT user_id, pos, round(cos(ang), 6) + 0.0 AS c, round(sum(cos(ang - d) * 0.1 - sin(ang - d) * dy) OVER w, 6) + 0.0 AS x, round(sum(sin(ang - d) * 0.1 + cos(ang - d) * dy) OVER w, 6) + 0.0 AS y
+    FROM an WINDOW w AS (PARTITION BY user_id ORDER BY pos)""")
+def w15_pose_chain_4x4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = measures.pose_chain(_poses(spark, sf_dir).select("user_id", F.col("pos").cast("bigint").alias("pos"), "delta"), ["user_id"], "pos", "delta")
+    return p.select("user_id", "pos", r(F.col("pose")[0]).alias("c"), r(F.col("pose")[3]).alias("x"), r(F.col("pose")[7]).alias("y"))
+
+
+@query("""WITH v AS (SELECT 'position' AS block, unnest(embedding[1:3]) AS v FROM embeddings UNION ALL SELECT 'rotation', unnest(embedding[4:6]) FROM embeddings)
+    SELECT block, min(v)::DOUBLE AS low, max(v)::DOUBLE AS high, round(avg(v::DOUBLE), 6) + 0.0 AS mean, round(stddev_pop(v::DOUBLE), 6) + 0.0 AS std FROM v GROUP BY block""")
+def a22_action_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = measures.action_blocks(table(spark, sf_dir, "embeddings"), "embedding", {"position": (0, 3), "rotation": (3, 3)})
+    return out.select("block", "low", "high", r("mean").alias("mean"), r("std").alias("std"))
+
+
+@query("SELECT l_linestatus, count(*) AS n FROM lineitem GROUP BY l_linestatus")
+def a22_gripper_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return measures.value_counts(table(spark, sf_dir, "lineitem"), "l_linestatus")
+
+
+@query("SELECT event_type, 'value' AS key, round(avg(value), 6) + 0.0 AS mean, count(*) AS n FROM events GROUP BY event_type UNION ALL SELECT event_type, 'half.value', round(avg(value / 2), 6) + 0.0, count(*) FROM events GROUP BY event_type")
+def a36_key_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select("event_type", F.create_map(F.lit("value"), F.col("value"), F.lit("half.value"), F.col("value") / 2).alias("m"))
+    return measures.key_averages(rows, ["event_type"], "m").select("event_type", "key", r("mean").alias("mean"), "n")
+
+
+@query("SELECT o_custkey, count(o) IN (0, count(*)) AS whole FROM (SELECT o_custkey, CASE WHEN o_orderkey % 3 > 0 THEN 1 END AS o FROM orders) GROUP BY o_custkey")
+def a40_all_or_none(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select("o_custkey", F.when(F.col("o_orderkey") % 3 > 0, 1).alias("o"))
+    return rows.groupBy("o_custkey").agg(measures.all_or_none("o").alias("whole"))
+
+
+@query("""WITH q AS (SELECT l_suppkey, l_linenumber, l_tax * 40 - 1 AS z, CAST(l_discount > 0.05 AS DOUBLE) AS t, abs(l_tax - l_discount) AS e FROM lineitem), p AS (SELECT *, 1 / (1 + exp(-z)) AS p FROM q)
+    SELECT l_suppkey, round(avg(-(t * 0.25 * (1 - p) ** 2 * ln(p) + (1 - t) * 0.75 * p ** 2 * ln(1 - p))), 6) + 0.0 AS focal,
+      round(avg(CASE WHEN e < 0.03 THEN -ln(p) ELSE -ln(1 - p) END), 6) + 0.0 AS confidence, round(avg(e * 0.8 ** (7 - l_linenumber) / 7), 6) + 0.0 AS iterated FROM p GROUP BY l_suppkey""")
+def a41_focal_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    z, e = F.col("l_tax") * 40 - 1, F.abs(F.col("l_tax") - F.col("l_discount"))
+    focal = measures.focal((F.col("l_discount") > 0.05).cast("double"), z)
+    return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(r(F.avg(focal)).alias("focal"), r(F.avg(measures.confidence_loss(e, z, 0.03))).alias("confidence"), r(F.avg(measures.by_iteration(e, F.col("l_linenumber") - 1, 7))).alias("iterated"))
+
+
+@query(f"""WITH {TR}, p AS (SELECT clip, track, step FROM tr WHERE step = 0), q AS (SELECT clip, track, x, y FROM tr WHERE step = 0)
+    SELECT a.clip, a.track, 1.0::DOUBLE / count(*) AS weight FROM q a JOIN q b ON a.clip = b.clip AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 0.04 GROUP BY a.clip, a.track""")
+def a46_radius_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return measures.radius_weights(tracks(spark, sf_dir).filter("step = 0"), ["clip"], "track", ["x", "y"], 0.2).select("clip", "track", "weight")
+
+
+@query("""WITH c AS (SELECT *, median(l_tax) OVER w AS cp, median(l_discount) OVER w AS ct FROM lineitem WINDOW w AS (PARTITION BY l_suppkey)),
+    s AS (SELECT l_suppkey, l_tax - cp AS p, l_discount - ct AS t, greatest(avg(abs(l_tax - cp)) OVER w, 1e-6) AS sp, greatest(avg(abs(l_discount - ct)) OVER w, 1e-6) AS st FROM c WINDOW w AS (PARTITION BY l_suppkey))
+    SELECT l_suppkey, round(avg(abs(p / sp - t / st)), 6) + 0.0 AS loss FROM s GROUP BY l_suppkey""")
+def a49_invariant_l1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return measures.invariant_l1(table(spark, sf_dir, "lineitem"), ["l_suppkey"], "l_tax", "l_discount").select("l_suppkey", r("loss").alias("loss"))
+
+
+@query(f"""WITH {CELLS}, e AS (SELECT f, u, v, d - (u + v) / 10.0 AS e, s FROM c, (VALUES (1), (2), (4)) t(s) WHERE u % s = 0 AND v % s = 0),
+    g AS (SELECT a.f, a.s, coalesce(abs(b.e - a.e), 0) + coalesce(abs(d.e - a.e), 0) AS g FROM e a LEFT JOIN e b ON b.f = a.f AND b.s = a.s AND b.v = a.v AND b.u = a.u + a.s LEFT JOIN e d ON d.f = a.f AND d.s = a.s AND d.u = a.u AND d.v = a.v + a.s),
+    m AS (SELECT f, s, avg(g) AS l FROM g GROUP BY f, s) SELECT f, round(sum(l) / 3, 6) + 0.0 AS loss FROM m GROUP BY f""")
+def a49_gradient_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = _cells(spark, sf_dir).withColumn("t", (F.col("u") + F.col("v")) / 10.0)
+    return measures.gradient_loss(cells, ["f"], "u", "v", "d", "t", 3).select("f", r("loss").alias("loss"))
+
+
+@query(f"WITH {TR} SELECT clip, track, CAST(step AS INT) AS step FROM tr WHERE abs(x) < 0.5 AND abs(y) + 0.4 > 0.5 AND x * 100 >= 0 AND x * 100 < 64 AND y * 100 >= 0 AND y * 100 < 48")
+def p22_static_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    still = measures.static_points(F.abs("x"), F.abs("y") + 0.4, F.col("x") * 100, F.col("y") * 100, 64, 48)
+    return tracks(spark, sf_dir).filter(still).select("clip", "track", "step")
+
+
+@query(f"""WITH {CELLS} SELECT f, count(CASE WHEN v >= {int(0.40810811 * 40)} AND v < {int(0.99189189 * 40)} AND u >= {int(0.03594771 * 40)} AND u < {int(0.96405229 * 40)} AND d > 5 AND d < 45 THEN 1 END) AS garg,
+    count(CASE WHEN v >= {int(0.3324324 * 40)} AND v < {int(0.91351351 * 40)} AND u >= {int(0.0359477 * 40)} AND u < {int(0.96405229 * 40)} AND d > 5 AND d < 45 THEN 1 END) AS eigen FROM c GROUP BY f""")
+def p25_eval_crops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inside = lambda kind: F.count_if(measures.eval_crop(kind, F.col("u"), F.col("v"), F.col("d"), 40, 40, 5, 45))
+    return _cells(spark, sf_dir).groupBy("f").agg(inside("garg").alias("garg"), inside("eigen_kitti").alias("eigen"))
+
+
+@query("""WITH p AS (SELECT label, vec_id, embedding[1:3] AS e, CAST(embedding[3] AS DOUBLE) AS d, CAST(embedding[3] AS DOUBLE) * 1.2 + CAST(embedding[4] AS DOUBLE) * 0.5 AS l FROM embeddings),
+    n AS (SELECT a.label, a.vec_id, abs(abs(b.d - a.d) / (abs(b.l - a.l) + 1e-8) - 1) < 0.4 AS ok, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(sqrt((a.e[1] - b.e[1])::DOUBLE ** 2 + (a.e[2] - b.e[2])::DOUBLE ** 2 + (a.e[3] - b.e[3])::DOUBLE ** 2), 6), b.vec_id) AS k FROM p a JOIN p b ON a.label = b.label AND a.vec_id <> b.vec_id)
+    SELECT label, vec_id, count(CASE WHEN ok THEN 1 END) AS alike, count(CASE WHEN ok THEN 1 END) > 9 AS kept FROM n WHERE k <= 48 GROUP BY label, vec_id""")
+def p26_topo_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = [F.get("embedding", F.lit(k)) for k in range(4)]
+    points = table(spark, sf_dir, "embeddings").select("label", "vec_id", F.array(*(x.cast("double") for x in e[:3])).alias("e"), e[2].cast("double").alias("d"), (e[2].cast("double") * 1.2 + e[3].cast("double") * 0.5).alias("l"))
+    return measures.topology_mask(points, ["label"], "vec_id", "e", "d", "l")
+
+
+@query(f"""WITH {CELLS}, p AS (SELECT f, u, v, u * 0.1 AS x, v * 0.1 AS y, d AS z FROM c),
+    s AS (SELECT p.f, p.u, p.v, u1.x - p.x AS ux, u1.y - p.y AS uy, u1.z - p.z AS uz, l1.x - p.x AS lx, l1.y - p.y AS ly, l1.z - p.z AS lz, d1.x - p.x AS dx, d1.y - p.y AS dy, d1.z - p.z AS dz, r1.x - p.x AS rx, r1.y - p.y AS ry, r1.z - p.z AS rz
+      FROM p LEFT JOIN p u1 ON u1.f = p.f AND u1.u = p.u AND u1.v = p.v - 1 LEFT JOIN p l1 ON l1.f = p.f AND l1.v = p.v AND l1.u = p.u - 1 LEFT JOIN p d1 ON d1.f = p.f AND d1.u = p.u AND d1.v = p.v + 1 LEFT JOIN p r1 ON r1.f = p.f AND r1.v = p.v AND r1.u = p.u + 1),
+    n AS (SELECT f, u, v, coalesce(uy*lz-uz*ly,0)+coalesce(ly*dz-lz*dy,0)+coalesce(dy*rz-dz*ry,0)+coalesce(ry*uz-rz*uy,0) AS nx, coalesce(uz*lx-ux*lz,0)+coalesce(lz*dx-lx*dz,0)+coalesce(dz*rx-dx*rz,0)+coalesce(rz*ux-rx*uz,0) AS ny,
+      coalesce(ux*ly-uy*lx,0)+coalesce(lx*dy-ly*dx,0)+coalesce(dx*ry-dy*rx,0)+coalesce(rx*uy-ry*ux,0) AS nz FROM s)
+    SELECT f, u, v, round(nx / nullif(sqrt(nx*nx+ny*ny+nz*nz), 0), 5) + 0.0 AS nx, round(ny / nullif(sqrt(nx*nx+ny*ny+nz*nz), 0), 5) + 0.0 AS ny, round(nz / nullif(sqrt(nx*nx+ny*ny+nz*nz), 0), 5) + 0.0 AS nz FROM n""")
+def g24_normals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _cells(spark, sf_dir).select("f", "u", "v", (F.col("u") * 0.1).alias("x"), (F.col("v") * 0.1).alias("y"), F.col("d").alias("z"))
+    return measures.normals(p, ["f"], "u", "v").select("f", "u", "v", *(r(c, 5).alias(c) for c in ("nx", "ny", "nz")))
+
+
+@query(f"WITH {CELLS} SELECT a.f, a.u, a.v, max(CAST(b.d > 40 AS INT)) = 1 AS hot FROM c a JOIN c b ON a.f = b.f AND abs(a.u - b.u) <= 1 AND abs(a.v - b.v) <= 1 GROUP BY a.f, a.u, a.v")
+def g25_dilate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return measures.dilate(_cells(spark, sf_dir).withColumn("hot", F.col("d") > 40), ["f"], "u", "v", "hot")
+
+
+@query(f"WITH {CELLS} SELECT f, CAST(i AS INT) AS u, CAST(j AS INT) AS v, d FROM c, range(15) a(i), range(25) b(j) WHERE u = floor((i + 0.5) * 40 / 15) AND v = floor((j + 0.5) * 40 / 25)")
+def g27_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return measures.resize_nearest(_cells(spark, sf_dir), ["f"], "u", "v", (40, 40), (15, 25)).select("f", "u", "v", "d")
+
+
+@query(f"""WITH {CELLS}, w AS (SELECT f, i, j, d, greatest(0, 1 - abs(greatest(0, least(39, (i + 0.5) * (40 / 64.0) - 0.5)) - u)) * greatest(0, 1 - abs(greatest(0, least(39, (j + 0.5) * (40 / 20.0) - 0.5)) - v)) AS w FROM c, range(64) a(i), range(20) b(j)
+      WHERE abs((i + 0.5) * (40 / 64.0) - 0.5 - u) < 2 AND abs((j + 0.5) * 2 - 0.5 - v) < 2)
+    SELECT f, CAST(i AS INT) AS u, CAST(j AS INT) AS v, round(sum(d * w) / sum(w), 5) + 0.0 AS d FROM w WHERE w > 0 GROUP BY f, i, j""")
+def g27_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return measures.resize_bilinear(_cells(spark, sf_dir), ["f"], "u", "v", "d", (40, 40), (64, 20)).select("f", "u", "v", r("d", 5).alias("d"))
+
+
+@query("SELECT p_partkey, round((2.0 * (p_partkey % 64) / 63 - 1) * ((64 / 48.0) / sqrt(1 + (64 / 48.0) ** 2) * 63 / 64), 6) + 0.0 AS u, round((2.0 * (p_partkey % 48) / 47 - 1) * (1 / sqrt(1 + (64 / 48.0) ** 2) * 47 / 48), 6) + 0.0 AS v FROM part")
+def g35_view_plane_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u, v = measures.view_plane_uv(F.col("p_partkey") % 64, F.col("p_partkey") % 48, 64, 48)
+    return table(spark, sf_dir, "part").select("p_partkey", r(u).alias("u"), r(v).alias("v"))
+
+
+@query(f"""WITH {CELLS}, z AS (SELECT f, u, v, CASE WHEN (u + v) % 5 = 0 THEN 0.0 ELSE d END AS d FROM c),
+    b AS (SELECT a.f, a.u, a.v, a.d AS own, sum(b.d * exp(-((a.u - b.u) ** 2 + (a.v - b.v) ** 2) / 2.0)) / sum(exp(-((a.u - b.u) ** 2 + (a.v - b.v) ** 2) / 2.0)) AS s FROM z a JOIN z b ON a.f = b.f AND abs(a.u - b.u) <= 2 AND abs(a.v - b.v) <= 2 GROUP BY a.f, a.u, a.v, a.d)
+    SELECT f, u, v, round(CASE WHEN own > 0 THEN s ELSE 0.0 END, 5) + 0.0 AS d FROM b""")
+def u03e_blur_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = _cells(spark, sf_dir).withColumn("d", F.when((F.col("u") + F.col("v")) % 5 == 0, 0.0).otherwise(F.col("d")))
+    return measures.blur_depth(cells, ["f"], "u", "v", "d", 2, 1.0).select("f", "u", "v", r("d", 5).alias("d"))
+
+
+@query(f"WITH {CELLS} SELECT a.f, a.u, a.v FROM c a JOIN c b ON a.f = b.f AND abs(a.u - b.u) <= 1 AND abs(a.v - b.v) <= 1 GROUP BY a.f, a.u, a.v, a.d HAVING NOT (max(b.d) - min(b.d)) / a.d > 0.5")
+def u03l_filter_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.depth_edges(_cells(spark, sf_dir), ["f"], "u", "v", "d", 0.5).filter("NOT edge").select("f", "u", "v")
+
+
+@query(f"WITH {CAM} SELECT vec_id, round(cx, 6) + 0.0 AS x, round(cy, 6) + 0.0 AS y, round(cz, 6) + 0.0 AS z, 1.0::DOUBLE AS scale FROM cam")
+def u03g_to_local(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = _points(spark, sf_dir).withColumn("frame", F.col("vec_id") % 10)
+    cameras = spark.range(10).select(F.col("id").alias("frame"), g.matrix(W2C).alias("w2c"))
+    return measures.to_local(points, cameras, ["frame"]).select("vec_id", r("x").alias("x"), r("y").alias("y"), r("z").alias("z"), F.col("w2c")[0].alias("scale"))
+
+
+@query("""WITH d AS (SELECT s_suppkey, s_suppkey % 5 AS set, (s_suppkey * 53 % 997) / 997.0 AS u FROM supplier), f AS (SELECT n_regionkey AS set, n_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) - 1 AS pos, count(*) OVER (PARTITION BY n_regionkey) AS n FROM nation)
+    SELECT s_suppkey, n_name FROM d JOIN f ON f.set = d.set AND f.pos = floor(d.u * f.n)""")
+def e07_file_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = table(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_suppkey") % 5).cast("int").alias("set"), ((F.col("s_suppkey") * 53 % 997) / 997.0).alias("u"))
+    files = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("set"), "n_name")
+    return statistics.uniform_choice(drawn, "set", "u", files, "n_name").select("s_suppkey", "n_name")
+
+
+@query("SELECT s_suppkey, [CAST(s_suppkey AS DOUBLE), 1.0, NULL, 0.5] AS items FROM supplier")
+def x14_parse_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = F.concat(F.lit("["), F.col("s_suppkey").cast("string"), F.lit(", true, x, 0.5]"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", x.parsed_list(written).alias("items"))

@@ -65,12 +65,19 @@ def padded_trace(points: Column, steps: int, dims: int) -> Column:
     return F.concat(points, F.array_repeat(F.array_repeat(F.lit(float("-inf")), dims), F.greatest(F.lit(0), F.lit(steps) - F.size(points))))
 
 
+def _png(lines: bytes, height: int, width: int, bits: int, colour: int) -> bytes:
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    return PNG + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, bits, colour, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+
+
 def png16(depth: np.ndarray) -> bytes:
     """A grey 16-bit PNG."""
-    height, width = depth.shape
-    lines = b"".join(b"\0" + row.astype(">u2").tobytes() for row in depth)
-    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
-    return PNG + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 16, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+    return _png(b"".join(b"\0" + row.astype(">u2").tobytes() for row in depth), *depth.shape, 16, 0)
+
+
+def png(image: np.ndarray) -> bytes:
+    """An 8-bit RGB PNG."""
+    return _png(b"".join(b"\0" + row.tobytes() for row in image), *image.shape[:2], 8, 2)
 
 
 def _unfiltered(raw: bytes, height: int, stride: int, unit: int) -> np.ndarray:
