@@ -224,3 +224,16 @@ def test_pose_encoding_round_trip(spark):
     assert got.focal == pytest.approx(1.7, abs=1e-4) and got.shift == pytest.approx(0.8, abs=1e-3)
     c = spark.createDataFrame([(k % 2, k, 0.4 if k < 15 else 0.9) for k in range(60)], "f long, id long, c double")
     assert projection.drop_uncertain(c, ["f"], "c").count() == 45 and projection.drop_uncertain(c, ["f"], "c", least=30).count() == 60
+
+
+@pytest.mark.parametrize("block", [3, 1000])
+def test_k_nearest_in_blocks(spark, block):
+    rng = np.random.default_rng(5)
+    rows = [(int(k % 2), k, [float(x) for x in rng.integers(0, 4, 3)]) for k in range(40)]
+    points = spark.createDataFrame(rows, "frame int, id long, v array<double>")
+    got = {(r.query, r["rank"]): (r.neighbour, r.distance) for r in matching.k_nearest(points, points, ["frame"], "id", "v", 4, block=block).collect()}
+    want = {}
+    for f, k, v in rows:
+        near = sorted((round(float(np.linalg.norm(np.subtract(v, w))), 9), j) for g, j, w in rows if g == f and j != k)[:4]
+        want |= {(k, n + 1): (j, d) for n, (d, j) in enumerate(near)}
+    assert got == want

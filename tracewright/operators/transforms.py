@@ -119,7 +119,12 @@ def add_flag(flag: str, column: str = "flags") -> Transform:
 @register("set_roi")
 def set_roi(ratio: float = 2.0, by: Sequence[str] = ("clip",), z: str = "z") -> Transform:
     """U03o: the clip's depth range, up to a multiple of the largest valid and visible depth."""
-    return lambda rows: rows.withColumns({"roi_low": F.lit(0.0), "roi_high": F.max(F.when(F.col("valid") & F.col("visible"), F.col(z))).over(Window.partitionBy(*by)) * ratio})
+
+    def run(rows: DataFrame) -> DataFrame:
+        most = rows.groupBy(*by).agg((F.max(F.when(F.col("valid") & F.col("visible"), F.col(z))) * ratio).alias("roi_high"))
+        return rows.withColumn("roi_low", F.lit(0.0)).join(most, list(by))
+
+    return run
 
 
 @register("cast_float")

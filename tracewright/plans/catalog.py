@@ -441,7 +441,8 @@ def p11_pixel_downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("WITH n AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label) SELECT vec_id FROM embeddings JOIN n USING (label) WHERE n > 48 OR vec_id % 5 = 0")
 def p12_keypoint_stride(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "embeddings").withColumn("n", F.count("*").over(segments.Window.partitionBy("label")))
+    e = table(spark, sf_dir, "embeddings")
+    e = e.select("vec_id", "label").join(e.groupBy("label").agg(F.count("*").alias("n")), "label")
     return e.filter(quality.keypoint_kept(F.col("vec_id"), 5, F.col("n"), 48)).select("vec_id")
 
 
@@ -1200,12 +1201,21 @@ def _fit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("label").alias("clip"), "vec_id", *(F.get("embedding", F.lit(k)).cast("double").alias(n) for k, n in enumerate("abcdef")), (1.0 + F.col("vec_id") % 3).alias("w"))
 
 
-@query()
+FIT = "ft AS (SELECT label AS clip, vec_id, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b, CAST(embedding[3] AS DOUBLE) AS c, CAST(embedding[4] AS DOUBLE) AS d, CAST(embedding[5] AS DOUBLE) AS e, CAST(embedding[6] AS DOUBLE) AS f, 1.0 + vec_id % 3 AS w FROM embeddings)"
+
+
+@query(f"""WITH {FIT}, p AS (SELECT DISTINCT clip, unnest([(b - 0.1) / a, b / a, (b + 0.1) / a]) AS s FROM ft WHERE abs(a) > 1e-12),
+    l AS (SELECT p.clip, p.s, sum(w * least(abs(p.s * a - b), 0.1)) AS loss FROM p JOIN ft ON ft.clip = p.clip GROUP BY p.clip, p.s)
+    SELECT clip, round(s, 6) + 0.0 AS scale, round(loss, 6) + 0.0 AS loss FROM (SELECT *, row_number() OVER (PARTITION BY clip ORDER BY round(loss, 9), s) AS k FROM l) WHERE k = 1""")
 def a31_l1_scale_trunc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitting.truncated_scale(_fit_rows(spark, sf_dir), ["clip"], "a", "b", "w", 0.1).select("clip", r("scale").alias("scale"), r("loss").alias("loss"))
 
 
-@query()
+@query(f"""WITH {FIT}, q AS (SELECT o.clip, o.vec_id AS anchor, o.a AS xk, o.b AS yk, (p.b - o.b) / (p.a - o.a) AS ratio, p.w * abs(p.a - o.a) AS v, p.vec_id FROM ft o JOIN ft p ON p.clip = o.clip AND abs(p.a - o.a) > 1e-12),
+    u AS (SELECT *, sum(v) OVER (PARTITION BY clip, anchor ORDER BY ratio, vec_id ROWS UNBOUNDED PRECEDING) AS run, sum(v) OVER (PARTITION BY clip, anchor) AS total FROM q),
+    m AS (SELECT clip, anchor, min(ratio) AS s, any_value(xk) AS xk, any_value(yk) AS yk FROM u WHERE 2 * run >= total GROUP BY clip, anchor),
+    l AS (SELECT m.clip, s, yk - s * xk AS t, sum(w * abs(s * a + (yk - s * xk) - b)) AS loss FROM m JOIN ft ON ft.clip = m.clip GROUP BY m.clip, m.anchor, s, xk, yk)
+    SELECT clip, round(s, 6) + 0.0 AS scale, round(t, 6) + 0.0 AS shift, round(loss, 6) + 0.0 AS loss FROM (SELECT *, row_number() OVER (PARTITION BY clip ORDER BY round(loss, 9), s) AS k FROM l) WHERE k = 1""")
 def a32_l1_affine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitting.anchored_affine(_fit_rows(spark, sf_dir), ["clip"], "a", "b", "w").select("clip", r("scale").alias("scale"), r("shift").alias("shift"), r("loss").alias("loss"))
 
@@ -1226,7 +1236,8 @@ def a37_procrustes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitting.procrustes(_fit_rows(spark, sf_dir), ["clip"], list("abc"), list("def"), "w")
 
 
-@query()
+@query(f"""WITH {CELLS}, e AS (SELECT f, u, v, CASE WHEN (u + v) % 3 <> 0 THEN d END AS d FROM c), n AS (SELECT a.f, a.u, a.v, min((a.u - b.u) ** 2 + (a.v - b.v) ** 2) AS s FROM e a JOIN e b ON a.f = b.f WHERE a.d IS NULL AND b.d IS NOT NULL GROUP BY a.f, a.u, a.v)
+    SELECT f, u, v, round(sqrt(s), 6) + 0.0 AS distance FROM n UNION ALL SELECT f, u, v, 0.0 FROM e WHERE d IS NOT NULL""")
 def j17_nearest_valid_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = _cells(spark, sf_dir).withColumn("d", F.when((F.col("u") + F.col("v")) % 3 != 0, F.col("d")))
     return fitting.nearest_fill(cells, ["f"], "u", "v", "d").select("f", "u", "v", r("distance").alias("distance"))
@@ -1239,7 +1250,12 @@ def w17_keyframes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitting.keyframes(pairs, ["clip"], "i", "j", "weight", 12)
 
 
-@query()
+@query(f"""WITH {FIT}, g AS (SELECT *, d * d + e * e + f * f AS n FROM ft),
+    s AS (SELECT clip, sum(1 - d * d / n) AS xx, sum(-d * e / n) AS xy, sum(-d * f / n) AS xz, sum(1 - e * e / n) AS yy, sum(-e * f / n) AS yz, sum(1 - f * f / n) AS zz,
+      sum(a - d * (d * a + e * b + f * c) / n) AS p, sum(b - e * (d * a + e * b + f * c) / n) AS q, sum(c - f * (d * a + e * b + f * c) / n) AS r FROM g GROUP BY clip),
+    t AS (SELECT *, xx * (yy * zz - yz * yz) - xy * (xy * zz - yz * xz) + xz * (xy * yz - yy * xz) AS det FROM s)
+    SELECT clip, round((p * (yy * zz - yz * yz) - xy * (q * zz - yz * r) + xz * (q * yz - yy * r)) / det, 6) + 0.0 AS a, round((xx * (q * zz - yz * r) - p * (xy * zz - yz * xz) + xz * (xy * r - q * xz)) / det, 6) + 0.0 AS b,
+      round((xx * (yy * r - q * yz) - xy * (xy * r - q * xz) + p * (xy * yz - yy * xz)) / det, 6) + 0.0 AS c FROM t""")
 def g20_camera_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fitting.axes_meeting(_fit_rows(spark, sf_dir), ["clip"], list("abc"), list("def"))
     return out.select("clip", *(r(c).alias(c) for c in "abc"))
