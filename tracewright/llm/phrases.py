@@ -156,7 +156,8 @@ def successors(docs: DataFrame) -> DataFrame:
     two = F.struct(F.col("ends").alias("to"), F.lit(1).alias("copy"))
     dealt = marked.select("rank", "doc_id", "text", F.explode(F.when(F.col("ends").isNull(), F.array(one)).otherwise(F.array(one, two))).alias("at"))
     dealt = dealt.select(F.col("at.to").alias("stretch"), F.col("at.copy").alias("copy"), "rank", "doc_id", "text")
-    return dealt.repartition("stretch").sortWithinPartitions("stretch", "copy", F.desc("rank"), "text").select("stretch", "copy", "doc_id", "text")
+    # a partition for each stretch, so that no two of them share a task by their hash
+    return dealt.repartitionById(stretches, "stretch").sortWithinPartitions("stretch", "copy", F.desc("rank"), "text").select("stretch", "copy", "doc_id", "text")
 
 
 def edited(text: str, following: str) -> str:
