@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import math
 import re
-import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -72,7 +71,6 @@ class Model:
 
     def __init__(self, counts: list[tuple[str, str, int]]):
         """counts: (lang, word, n)."""
-        self.name = uuid.uuid4().hex
         self.langs = sorted({lang for lang, _, _ in counts})
         at = {lang: k for k, lang in enumerate(self.langs)}
         self.words: dict[str, int] = {}
@@ -140,16 +138,12 @@ class Predictor:
         return self.model.langs[best], float(1 / np.exp(odds).sum())
 
 
-_PREDICTORS: dict[str, Predictor] = {}
-
-
 def predictor(held: Broadcast) -> Predictor:
-    """One for all tasks of a worker; that of another model is given up."""
-    key = held.value.name
-    if key not in _PREDICTORS:
-        _PREDICTORS.clear()
-        _PREDICTORS[key] = Predictor(held.value)
-    return _PREDICTORS[key]
+    """One for all tasks of a worker. It hangs on the broadcast model, so it goes with it when the worker turns to other work."""
+    model = held.value
+    if not hasattr(model, "told"):
+        model.told = Predictor(model)
+    return model.told
 
 
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, words: int = WORDS_KEPT) -> Model:

@@ -87,14 +87,17 @@ class Encoder:
         return array("I", self.words(first)).tobytes() + b"".join(map(self.known.__getitem__, rest))
 
 
-_ENCODERS: dict[str, Encoder] = {}
+class Vocabulary:
+    """A tokenizer file's path, and in a worker its encoder, which all tasks share and which goes with the broadcast when the worker turns to other work."""
 
+    def __init__(self, path: str):
+        self.path = path
 
-def encoder(path: str) -> Encoder:
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    def encoder(self) -> Encoder:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        if not hasattr(self, "held"):
+            self.held = Encoder(self.path)
+        return self.held
 
 
 def pieces_of(n: int, max_len: int = MAX_LEN) -> list[int]:
@@ -109,9 +112,10 @@ def pack(docs: DataFrame, tokenizer: str, max_len: int = MAX_LEN, tokens: bool =
     sequence_id is the row's place in its partition of the scan (the upper 31 bits are the partition), so it needs no global count and comes out the same when a task runs again."""
     if max_len & (max_len - 1) or max_len < 1:
         raise ValueError("max_len must be a power of two")
+    held = docs.sparkSession.sparkContext.broadcast(Vocabulary(tokenizer))  # a path
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = held.value.encoder()
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             ids: list[int | None] = []
