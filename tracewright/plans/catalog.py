@@ -1465,9 +1465,9 @@ def g27_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {CELLS}, w AS (SELECT f, i, j, d, greatest(0, 1 - abs(greatest(0, least(39, (i + 0.5) * (40 / 64.0) - 0.5)) - u)) * greatest(0, 1 - abs(greatest(0, least(39, (j + 0.5) * (40 / 20.0) - 0.5)) - v)) AS w FROM c, range(64) a(i), range(20) b(j)
       WHERE abs((i + 0.5) * (40 / 64.0) - 0.5 - u) < 2 AND abs((j + 0.5) * 2 - 0.5 - v) < 2)
-    SELECT f, CAST(i AS INT) AS u, CAST(j AS INT) AS v, round(sum(d * w) / sum(w), 5) + 0.0 AS d FROM w WHERE w > 0 GROUP BY f, i, j""")
+    SELECT f, CAST(i AS INT) AS u, CAST(j AS INT) AS v, round(sum(d * w) / sum(w), 12) + 0.0 AS d FROM w WHERE w > 0 GROUP BY f, i, j""")
 def g27_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return measures.resize_bilinear(_cells(spark, sf_dir), ["f"], "u", "v", "d", (40, 40), (64, 20)).select("f", "u", "v", r("d", 5).alias("d"))
+    return measures.resize_bilinear(_cells(spark, sf_dir), ["f"], "u", "v", "d", (40, 40), (64, 20)).select("f", "u", "v", r("d", 12).alias("d"))
 
 
 @query("SELECT p_partkey, round((2.0 * (p_partkey % 64) / 63 - 1) * ((64 / 48.0) / sqrt(1 + (64 / 48.0) ** 2) * 63 / 64), 6) + 0.0 AS u, round((2.0 * (p_partkey % 48) / 47 - 1) * (1 / sqrt(1 + (64 / 48.0) ** 2) * 47 / 48), 6) + 0.0 AS v FROM part")
