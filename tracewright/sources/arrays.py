@@ -99,7 +99,7 @@ def _unfiltered(raw: bytes, height: int, stride: int, unit: int) -> np.ndarray:
                 p = left + up - corner
                 a, b, c = abs(p - left), abs(p - up), abs(p - corner)
                 guess = left if a <= b and a <= c else up if b <= c else corner
-            now[x + unit] = (line[x] + guess) & 255
+            now[x + unit] = (int(line[x]) + guess) & 255
     return out[1:, unit:].astype(np.uint8)
 
 
