@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tracewright.llm import simhash as s
 
@@ -196,3 +197,37 @@ def test_any_two_rows_of_a_key_share_a_part(spark, size):
         parts.setdefault((r.key, r.rep), set()).add(r.part)
     keys = list(parts)
     assert all(parts[a] & parts[b] for a in keys for b in keys if a[0] == b[0])
+
+
+def linked():
+    """A finder of links between rows of a part whose `kind` is equal, which notes how many rows it was sent."""
+    sent = []
+
+    def find(rows):
+        sent.append(rows.count())
+        a, b = rows.select("part", "kind", F.col("rep").alias("a")), rows.select("part", "kind", F.col("rep").alias("b"))
+        return a.join(b, ["part", "kind"]).filter("a < b").select("a", "b").distinct()
+
+    return find, sent
+
+
+@pytest.mark.parametrize("kinds", [1, 2, 3, 40])
+@pytest.mark.parametrize("size", [16, 64])
+def test_crowds_are_spanned(spark, kinds, size):
+    """One crowd of a kind, a few strays that link to one another only, and keys without a largest component."""
+    rows = [(1, k, 0 if k % 20 else 1 + k // 20 % kinds) for k in range(400)] + [(2, 1000 + k, k % kinds) for k in range(150)] + [(3, 2000 + k, 7) for k in range(5)]
+    df = spark.createDataFrame(rows, "key long, rep long, kind long")
+    find, _ = linked()
+    got = {r.node: r.root for r in s.components(s.spanning_links(df, "key", find, size)).collect()}
+    least = {}
+    for key, rep, kind in rows:
+        least.setdefault((key, kind), rep)
+    assert all(got.get(rep, rep) == least[key, kind] for key, rep, kind in rows)
+
+
+def test_crowds_cost_rows_in_proportion(spark):
+    for n in (500, 2000):
+        df = spark.range(n).select(F.lit(1).cast("long").alias("key"), F.col("id").alias("rep"), F.when(F.col("id") < 10, 1).otherwise(0).alias("kind"))
+        find, sent = linked()
+        s.spanning_links(df, "key", find, 50).count()
+        assert sum(sent) < 6 * n

@@ -26,12 +26,12 @@ class; a null doc_id counts as largest. An empty table gives an empty result; fu
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.llm.common import bound_batches, boxed, materialize, small, tidy
@@ -275,17 +275,68 @@ def bucket_links(rows: DataFrame, segments: int, distance: int) -> DataFrame:
     return dealt.mapInArrow(tidy(link), "a long, b long")
 
 
-def in_chunks(rows: DataFrame, key: str, size: int, shingles: int | None = None) -> DataFrame:
-    """Adds `part`: the key, or for a key of more than `size` rows (or of more than so many shingles, column n) a value for each two of its chunks.
-
-    Rows are dealt to chunks by a hash of rep, and any two rows of a key share at least one part."""
+def crowded(rows: DataFrame, key: str, size: int, shingles: int | None = None) -> DataFrame:
+    """Keys of more than `size` rows (or of more than so many shingles, column n), with the number of chunks that they need, `__chunks`."""
     need = F.count("*") / F.lit(size)
     need = F.ceil(F.greatest(need, F.sum("n") / F.lit(shingles)) if shingles else need)
-    hot = materialize(rows.groupBy(key).agg(need.cast("int").alias("__chunks"), F.count("*").alias("__count")).filter("__chunks > 1 AND __count > 1").drop("__count"))
-    chunk = F.pmod(F.xxhash64("rep"), F.col("__chunks")).cast("int")
-    two = lambda j: F.xxhash64(F.col(key), F.least(chunk, j), F.greatest(chunk, j))
-    parts = F.when(F.col("__chunks").isNull(), F.array(F.col(key))).otherwise(F.transform(F.sequence(F.lit(0), F.coalesce("__chunks", F.lit(1)) - 1), two))
-    return rows.join(small(hot), key, "left").withColumn("part", F.explode(parts)).drop("__chunks")
+    return materialize(rows.groupBy(key).agg(need.cast("int").alias("__chunks"), F.count("*").alias("__count")).filter("__chunks > 1 AND __count > 1").drop("__count"))
+
+
+def chunk_of(chunks: str = "__chunks", salt: str = "") -> Column:
+    return F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(chunks)).cast("int")
+
+
+def places(chunks: str = "__chunks") -> Column:
+    return F.sequence(F.lit(0), F.coalesce(F.col(chunks), F.lit(1)) - 1)
+
+
+def pairs_of_chunks(key: str) -> Column:
+    """A value for each two chunks of which a row's own is one: any two rows of a key share at least one."""
+    return F.transform(places(), lambda j: F.xxhash64(F.col(key), F.least(chunk_of(), j), F.greatest(chunk_of(), j)))
+
+
+def in_chunks(rows: DataFrame, key: str, size: int, shingles: int | None = None) -> DataFrame:
+    """Adds `part`: the key, or for a crowded key a value for each two of its chunks. Rows are dealt to chunks by a hash of rep."""
+    parts = F.when(F.col("__chunks").isNull(), F.array(F.col(key))).otherwise(pairs_of_chunks(key))
+    return rows.join(small(crowded(rows, key, size, shingles)), key, "left").withColumn("part", F.explode(parts)).drop("__chunks")
+
+
+def pivoted(many: DataFrame, key: str) -> DataFrame:
+    """Adds `part`: each row goes to its own chunk, and about a chunk's worth of rows of each key, the pivots, to all chunks of it."""
+    each = F.transform(places(), lambda j: F.xxhash64(F.col(key), j))
+    return many.withColumn("part", F.explode(F.when(chunk_of(salt="pivot") == 0, each).otherwise(F.array(F.xxhash64(F.col(key), chunk_of())))))
+
+
+def left_over(many: DataFrame, key: str, found: DataFrame) -> DataFrame:
+    """Adds `part` to rows of keys that are not one component (node, root) yet: any two rows of a key of which one lies outside its largest component share one.
+
+    Rows outside are cut into chunks too; each of these meets every chunk of the key. Where most rows are outside, all pairs of chunks do that in fewer rows."""
+    rooted = materialize(many.select(key, "rep").join(small(found), F.col("rep") == F.col("node"), "left").select(key, "rep", F.coalesce("root", "rep").alias("__root")))
+    sizes = rooted.groupBy(key, "__root").agg(F.count("*").alias("n")).groupBy(key)
+    sizes = sizes.agg(F.max(F.struct("n", "__root")).alias("most"), F.sum("n").alias("all")).filter("most.n < all")
+    open_ = materialize(sizes.select(key, F.col("most.__root").alias("__most"), (F.col("all") - F.col("most.n")).alias("__out"), F.col("all").alias("__all")))
+    outside = F.col("__root") != F.col("__most")
+    # as many as hold a chunk's worth of rows each, by the key's own rate of rows a chunk
+    cut = F.ceil(F.col("__out") * F.col("__chunks") / F.col("__all")).cast("int")
+    row = many.join(small(open_), key).join(rooted, [key, "rep"]).withColumn("__cut", cut)
+    met = F.transform(places("__cut"), lambda i: F.xxhash64(F.col(key), i, chunk_of()))
+    sent = F.transform(places(), lambda j: F.xxhash64(F.col(key), chunk_of("__cut", "out"), j))
+    few = F.when(outside, F.array_union(met, sent)).otherwise(met)
+    parts = F.when(F.col("__out") * 2 > F.col("__all"), pairs_of_chunks(key)).otherwise(few)
+    return row.withColumn("part", F.explode(parts)).select(*many.columns, "part")
+
+
+def spanning_links(rows: DataFrame, key: str, find: Callable[[DataFrame], DataFrame], size: int, shingles: int | None = None) -> DataFrame:
+    """Links whose components are those of all links that `find` (rows with part to a, b) sees between two rows (rep) of a key."""
+    hot = crowded(rows, key, size, shingles)
+    n_hot = hot.count()
+    if not n_hot:
+        return find(rows.withColumn("part", F.col(key)))
+    calm = rows.join(small(hot, n_hot), key, "left_anti").withColumn("part", F.col(key))
+    many = rows.join(small(hot, n_hot), key)
+    first = materialize(find(calm.unionByName(pivoted(many, key).drop("__chunks"))))
+    second = left_over(many, key, materialize(components(first))).drop("__chunks")
+    return first.unionByName(find(second))
 
 
 def part_links(rows: DataFrame, segments: int, distance: int) -> DataFrame:
@@ -512,14 +563,15 @@ def near_classes(docs: DataFrame, width: int, distance: int, likeness: float) ->
     rows = keyed.select("doc_id", "h1", "h2", "text").mapInArrow(tidy(describe), "doc_id long, h1 long, h2 long, n long, fp long, bands array<long>")
     grouped = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"), *(F.first(c).alias(c) for c in ("n", "fp", "bands")))
     texts = materialize(grouped.withColumn("rep", F.monotonically_increasing_id()))  # written once, so the numbers stay
-    blocks = in_chunks(texts.select(F.explode("bands").alias("key"), "rep", "fp"), "key", CROWD)
-    maybe = _labelled(texts.select("h1", "h2", "rep", "n"), block_links(blocks.select("part", "rep", "fp"), distance))
+    blocks = texts.select(F.explode("bands").alias("key"), "rep", "fp")
+    near = lambda rows: block_links(rows.select("part", "rep", "fp"), distance)
+    maybe = _labelled(texts.select("h1", "h2", "rep", "n"), spanning_links(blocks, "key", near, CROWD))
     several = maybe.groupBy("label").agg(F.count("*").alias("texts")).filter("texts > 1").select("label")
     needed = materialize(maybe.join(small(materialize(several)), "label").select("h1", "h2", "rep", "n", F.col("label").alias("key")))
     asked = keyed.select("h1", "h2", "text").join(small(needed), ["h1", "h2"]).select("key", "rep", "n", "text")
     sets = asked.mapInArrow(tidy(shingle), "key long, rep long, n long, hashes array<long>").groupBy("rep").agg(*(F.first(c).alias(c) for c in ("key", "n", "hashes")))
-    dealt = in_chunks(materialize(sets), "key", CROWD, CHUNK_SHINGLES).select("part", "rep", "hashes")
-    return _labelled(texts.select("h1", "h2", "least", "rows", "rep"), exact_links(dealt, likeness)), keyed
+    exact = lambda rows: exact_links(rows.select("part", "rep", "hashes"), likeness)
+    return _labelled(texts.select("h1", "h2", "least", "rows", "rep"), spanning_links(materialize(sets), "key", exact, CROWD, CHUNK_SHINGLES)), keyed
 
 
 def dedup(docs: DataFrame, width: int = 5, distance: int = NEAR, likeness: float = LIKENESS) -> DataFrame:
