@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions import geometry as g
 from tracewright.functions import text as x
-from tracewright.operators import depth, fitting, matching, quality, retarget, segments, statistics, transforms
+from tracewright.operators import depth, fitting, matching, measures, quality, retarget, segments, statistics, transforms
 from tracewright.streaming import tracks as stream
 
 
@@ -237,3 +237,47 @@ def test_k_nearest_in_blocks(spark, block):
         near = sorted((round(float(np.linalg.norm(np.subtract(v, w))), 9), j) for g, j, w in rows if g == f and j != k)[:4]
         want |= {(k, n + 1): (j, d) for n, (d, j) in enumerate(near)}
     assert got == want
+
+
+def test_random_poses_and_camera_aug(spark):
+    """The walk: the identity first, rotations throughout, steps within their bounds, the same from any partitions; the points: moved by the pose of their frame."""
+    frames = spark.createDataFrame([(c, s) for c in (1, 2) for s in (4, 7, 9, 9, 12)] + [(None, 0)], "clip long, step long")
+    poses = lambda df: {(r.clip, r.step): np.array(r.pose).reshape(4, 4) for r in measures.random_poses(df, ["clip"], "step", 5, 0.1, 0.2).collect()}
+    got = poses(frames)
+    again = poses(frames.repartition(5))
+    assert got.keys() == {(c, s) for c in (1, 2) for s in (4, 7, 9, 12)} | {(None, 0)} and all((got[k] == again[k]).all() for k in got)
+    for c in (1, 2):
+        assert (got[c, 4] == np.eye(4)).all() and not np.allclose(got[1, 7], got[2, 7])
+        for a, b in ((4, 7), (7, 9), (9, 12)):
+            step = np.linalg.inv(got[c, a]) @ got[c, b]
+            assert np.allclose(step[:3, :3] @ step[:3, :3].T, np.eye(3)) and (abs(step[:3, 3]) <= 0.2).all() and 0 < np.arccos((np.trace(step[:3, :3]) - 1) / 2) <= 0.1 * 3**0.5
+    assert not poses(frames.limit(0))
+    points = spark.createDataFrame([(1, s, float(s), 1.0, 2.0, f) for s in (4, 7, 9) for f in (["local"], None, ["x"])], "clip long, step long, x double, y double, z double, flags array<string>")
+    for r in measures.camera_aug(points, ["clip"], "step", 5, 0.1, 0.2).collect():
+        own = np.array([r.step, 1.0, 2.0, 1.0])
+        if r.flags == ["local"]:
+            own = got[1, r.step] @ own if r.step == 4 else np.array(r.pose).reshape(4, 4) @ own
+        else:
+            assert r.pose is None
+        assert np.allclose([r.x, r.y, r.z], own[:3])
+
+
+def test_average_motion_with_shifts(spark):
+    """Frames and their pairs planted exactly: rotations and translations relative to frame 0 come back; a lone pair and a table without pairs work too."""
+    rng = np.random.default_rng(8)
+    turns = [np.linalg.qr(rng.normal(size=(3, 3)))[0] for _ in range(6)]
+    turns = [t * np.sign(np.linalg.det(t)) for t in turns]
+    moves = rng.normal(size=(6, 3))
+    rows = []
+    for clip, n in ((1, 6), (2, 2)):
+        for a in range(n):
+            for b in range(a + 1, n):
+                r = turns[b] @ turns[a].T
+                rows.append((clip, a, b, r.ravel().tolist(), (moves[b] - r @ moves[a]).tolist()))
+    pairs = spark.createDataFrame(rows, "clip long, i long, j long, r array<double>, t array<double>")
+    got = {(x.clip, x.frame): x for x in fitting.average_motion(pairs, ["clip"], "i", "j", "r", "t").collect()}
+    assert len(got) == 8
+    for (_, f), x in got.items():
+        assert np.allclose(np.array(x.rotation).reshape(3, 3), turns[f] @ turns[0].T, atol=1e-8)
+        assert np.allclose(x.shift, moves[f] - turns[f] @ turns[0].T @ moves[0], atol=1e-8)
+    assert fitting.average_motion(pairs.limit(0), ["clip"], "i", "j", "r", "t").count() == 0

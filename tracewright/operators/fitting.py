@@ -171,8 +171,10 @@ def keyframes(edges: DataFrame, by: Sequence[str], i: str, j: str, weight: str,
     return edges.select(*keys, i, j, weight).groupBy(*keys).applyInPandas(choose, f"{_names(edges, keys)}, frame long, place long")
 
 
-def average_motion(pairs: DataFrame, by: Sequence[str], i: str, j: str, rotation: str) -> DataFrame:
-    """Absolute rotations (frame 0 is the identity) from relative ones R_ij = R_j R_i^T, by the leading eigenvectors of the block matrix of a clip."""
+def average_motion(pairs: DataFrame, by: Sequence[str], i: str, j: str, rotation: str, shift: str | None = None) -> DataFrame:
+    """Absolute rotations (the first frame is the identity) from relative ones R_ij = R_j R_i^T, by the leading eigenvectors of the block matrix of a clip.
+
+    With relative shifts t_ij = t_j - R_ij t_i also the absolute ones, by least squares over all pairs from the averaged rotations (the first frame is at zero). Frames that no pairs tie to the first get the smallest solution."""
     keys = list(by)
 
     def solve(p: pd.DataFrame) -> pd.DataFrame:
@@ -190,9 +192,26 @@ def average_motion(pairs: DataFrame, by: Sequence[str], i: str, j: str, rotation
         if np.linalg.det(blocks[0]) < 0:
             blocks = blocks * np.array([1.0, 1.0, -1.0])
         turned = [rigid_of_moments(x @ np.linalg.inv(blocks[0])) for x in blocks]
-        return pd.concat([p[keys].head(1)] * n, ignore_index=True).assign(frame=[int(f) for f in frames], rotation=[r.ravel().tolist() for r in turned])
+        out = pd.concat([p[keys].head(1)] * n, ignore_index=True).assign(frame=[int(f) for f in frames], rotation=[r.ravel().tolist() for r in turned])
+        if shift:
+            # normal equations, so their size goes by the frames, not by the pairs
+            lhs, rhs = np.zeros((3 * n, 3 * n)), np.zeros(3 * n)
+            for a, b, t in zip(p[i], p[j], p[shift], strict=True):
+                a, b, t = place[a], place[b], np.array(t)
+                r = turned[b] @ turned[a].T
+                sa, sb = slice(3 * a, 3 * a + 3), slice(3 * b, 3 * b + 3)
+                lhs[sb, sb] += np.eye(3)
+                lhs[sa, sa] += r.T @ r
+                lhs[sb, sa] -= r
+                lhs[sa, sb] -= r.T
+                rhs[sb] += t
+                rhs[sa] -= r.T @ t
+            free = np.linalg.lstsq(lhs[3:, 3:], rhs[3:], rcond=None)[0]
+            out = out.assign(shift=np.concatenate([np.zeros(3), free]).reshape(n, 3).tolist())
+        return out
 
-    return pairs.select(*keys, i, j, rotation).groupBy(*keys).applyInPandas(solve, f"{_names(pairs, keys)}, frame long, rotation array<double>")
+    schema = f"{_names(pairs, keys)}, frame long, rotation array<double>" + (", shift array<double>" if shift else "")
+    return pairs.select(*keys, i, j, rotation, *([shift] if shift else [])).groupBy(*keys).applyInPandas(solve, schema)
 
 
 def axes_meeting(rays: DataFrame, by: Sequence[str], origin: Sequence[str], axis: Sequence[str]) -> DataFrame:

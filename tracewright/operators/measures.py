@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions import geometry
 from tracewright.operators.matching import k_nearest
+from tracewright.operators.transforms import uniform
 
 
 # losses
@@ -106,6 +107,29 @@ def pose_chain(rows: DataFrame, by: Sequence[str], pos: str, relative: str) -> D
     return chained.select(*by, F.explode(F.aggregate("__all", start, step, lambda a: a["out"])).alias("__p")).select(*by, F.col("__p.pos").alias(pos), F.col("__p.m").alias("pose"))
 
 
+def random_poses(frames: DataFrame, by: Sequence[str], pos: str, seed: int, turn: float, shift: float, scale: Column | float = 1.0) -> DataFrame:
+    """A walk of each clip's camera from the identity: every further frame turns by up to `turn` radians about each axis and moves by up to `shift` times `scale` along it.
+
+    Steps are hashes of the clip, the frame and the seed. Repeated frames count once; an empty table gives an empty result."""
+    first = Window.partitionBy(*by).orderBy(pos)
+    unit = lambda k: F.when(F.col("__first"), 0.0).otherwise(uniform(seed + k, *by, pos) * 2 - 1)
+    each = frames.select(*by, F.col(pos).cast("bigint").alias(pos), (F.lit(shift) * scale).alias("__size")).dropDuplicates([*by, pos])
+    # a column for each stage: expressions that are used many times must not be written out many times
+    steps = each.withColumn("__first", F.lag(pos).over(first).isNull()).withColumns({"__turn": F.array(*(unit(k) * turn for k in range(3))), "__move": F.array(*(unit(k) * F.col("__size") for k in range(3, 6)))})
+    turned = steps.withColumn("__q", F.array(*geometry.quaternion_of_rotvec(*(F.col("__turn")[k] for k in range(3))))).withColumn("__r", geometry.matrix_of_quaternion(*(F.col("__q")[k] for k in range(4))))
+    return pose_chain(turned.withColumn("__step", pose_of([F.col("__r")[k] for k in range(9)], [F.col("__move")[k] for k in range(3)])), by, pos, "__step")
+
+
+def camera_aug(points: DataFrame, by: Sequence[str], pos: str, seed: int, turn: float, shift: float, scale: str | None = None, axes: Sequence[str] = ("x", "y", "z"), flags: str = "flags") -> DataFrame:
+    """U03j: points of cameras' own frames (rows flagged `local`) moved along a random walk of the camera, `pose`; `scale` names the clip's size (A43). Other rows, and those with a null key, stay, with no pose."""
+    local = F.coalesce(F.array_contains(flags, "local"), F.lit(False))
+    frames = points.filter(local).groupBy(*by, pos).agg((F.max(scale) if scale else F.lit(1.0)).alias("__scale"))
+    walk = random_poses(frames, by, pos, seed, turn, shift, F.col("__scale"))
+    met = points.join(walk, [*by, pos], "left").withColumn("pose", F.when(local, F.col("pose")))
+    moved = geometry.apply_extrinsics(F.col("pose"), tuple(F.col(a) for a in axes))
+    return met.withColumns({a: F.when(F.col("pose").isNull(), F.col(a)).otherwise(m) for a, m in zip(axes, moved, strict=True)})
+
+
 # masks
 
 

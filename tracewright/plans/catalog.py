@@ -1508,3 +1508,19 @@ def e07_file_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def x14_parse_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = F.concat(F.lit("["), F.col("s_suppkey").cast("string"), F.lit(", true, x, 0.5]"))
     return table(spark, sf_dir, "supplier").select("s_suppkey", x.parsed_list(written).alias("items"))
+
+
+@query()
+def g19_random_poses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frames = tracks(spark, sf_dir).select("clip", "step").distinct()
+    return measures.random_poses(frames, ["clip"], "step", 3, 0.05, 0.1).select("clip", "step", F.transform("pose", lambda v: F.round(v, 6) + F.lit(0.0)).alias("pose"))
+
+
+@query(f"""WITH {PT}, c AS (SELECT vec_id % 4 AS clip, vec_id % 40 AS frame, avg(x) AS ax, avg(y) AS ay, avg(z) AS az FROM p GROUP BY ALL)
+    SELECT clip, frame, count(*) AS n, round(avg((x - ax) ** 2 + (y - ay) ** 2 + (z - az) ** 2), 6) + 0.0 AS spread FROM p JOIN c ON c.frame = p.vec_id % 40 GROUP BY clip, frame""")
+def u03j_camera_aug(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The walk itself is drawn by hash; what a rigid motion leaves alone, the mean square distance from a frame's centre, is what SQL holds it to."""
+    p = _points(spark, sf_dir).select((F.col("vec_id") % 4).alias("clip"), (F.col("vec_id") % 40).alias("frame"), "vec_id", "x", "y", "z", F.array(F.lit("local")).alias("flags"))
+    moved = measures.camera_aug(p, ["clip"], "frame", 5, 0.05, 0.2)
+    spread = sum((F.var_pop(c) for c in "yz"), F.var_pop("x"))
+    return moved.groupBy("clip", "frame").agg(F.count("*").alias("n"), r(spread).alias("spread"))
