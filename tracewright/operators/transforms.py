@@ -61,6 +61,47 @@ def erase(boxes: DataFrame, by: Sequence[str] = ("clip", "step"), x: str = "x",
     return run
 
 
+EDGES = ("left", "top", "right", "bottom")
+
+
+def _boxed(pixels: DataFrame, boxes: DataFrame, on: Sequence[str], u: str, v: str) -> DataFrame:
+    """Pixels beside each box that holds them. Frames have few boxes, so the join by frame stays small."""
+    inside = (F.col(u) >= F.col("left")) & (F.col(u) < F.col("right")) & (F.col(v) >= F.col("top")) & (F.col(v) < F.col("bottom"))
+    return pixels.join(boxes, list(on)).filter(inside)
+
+
+@register("fill")
+def fill(boxes: DataFrame, by: Sequence[str] = ("clip", "step"), u: str = "u", v: str = "v", value: str = "depth") -> Transform:
+    """Pixels inside a box (left, top, right, bottom of the same frame) take the mean of the box; where boxes overlap, that of the one with the largest left, then top edge."""
+
+    def run(pixels: DataFrame) -> DataFrame:
+        held = _boxed(pixels.select(*by, u, v, value), boxes.select(*by, *EDGES).distinct(), by, u, v)
+        means = held.groupBy(*by, *EDGES).agg(F.avg(value).alias("__mean"))
+        new = held.join(means, [*by, *EDGES]).groupBy(*by, u, v).agg(F.max_by("__mean", F.struct("left", "top", "right", "bottom")).alias("__mean"))
+        return pixels.join(new, [*by, u, v], "left").withColumn(value, F.coalesce("__mean", value)).drop("__mean")
+
+    return run
+
+
+@register("paste")
+def paste(boxes: DataFrame, by: Sequence[str] = ("clip", "step"), u: str = "u", v: str = "v", value: str = "depth", front: float = 0.9) -> Transform:
+    """Pixels inside a box take those of the frame `source` of the same clip (the last of `by` names frames), scaled so that the patch's farthest lies at `front` times
+    the box's nearest valid depth. Boxes without valid depth on either side change nothing; where boxes overlap, the one with the largest left, then top edge counts."""
+    *clip, step = by
+
+    def run(pixels: DataFrame) -> DataFrame:
+        areas, known = boxes.select(*by, *EDGES, "source").distinct(), pixels.select(*by, u, v, value)
+        valid = F.when(F.col(value) > 0, F.col(value))
+        nearest = _boxed(known, areas, by, u, v).groupBy(*by, *EDGES, "source").agg(F.min(valid).alias("__near"))
+        patches = _boxed(known.withColumnRenamed(step, "source"), areas, [*clip, "source"], u, v)
+        farthest = patches.groupBy(*by, *EDGES, "source").agg(F.max(valid).alias("__far"))
+        scaled = patches.join(nearest.join(farthest, [*by, *EDGES, "source"]), [*by, *EDGES, "source"]).withColumn("__new", F.col(value) * F.col("__near") * front / F.col("__far"))
+        new = scaled.filter("__new IS NOT NULL").groupBy(*by, u, v).agg(F.max_by("__new", F.struct(*EDGES, "source")).alias("__new"))
+        return pixels.join(new, [*by, u, v], "left").withColumn(value, F.coalesce("__new", value)).drop("__new")
+
+    return run
+
+
 @register("flip")
 def flip(width: float, x: str = "x") -> Transform:
     """U03f: mirrored pixels."""

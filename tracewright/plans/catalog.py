@@ -1524,3 +1524,25 @@ def u03j_camera_aug(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = measures.camera_aug(p, ["clip"], "frame", 5, 0.05, 0.2)
     spread = sum((F.var_pop(c) for c in "yz"), F.var_pop("x"))
     return moved.groupBy("clip", "frame").agg(F.count("*").alias("n"), r(spread).alias("spread"))
+
+
+BOXES = "b AS (SELECT f, 5 + f AS l, 10 AS t, 15 + f AS r, 20 AS b FROM range(10) x(f))"
+
+
+def _boxes(spark: SparkSession) -> DataFrame:
+    f = F.col("id").alias("f")
+    return spark.range(10).select(f, (F.col("id") + 5).alias("left"), F.lit(10).alias("top"), (F.col("id") + 15).alias("right"), F.lit(20).alias("bottom"), ((F.col("id") + 1) % 10).alias("source"))
+
+
+@query(f"""WITH {CELLS}, {BOXES}, i AS (SELECT c.*, c.u >= l AND c.u < r AND c.v >= t AND c.v < b.b AS inside FROM c JOIN b ON b.f = c.f)
+    SELECT f, u, v, round(CASE WHEN inside THEN avg(d) OVER (PARTITION BY f, inside) ELSE d END, 6) + 0.0 AS d FROM i""")
+def u03a_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cells(spark, sf_dir).transform(transforms.fill(_boxes(spark), ["f"], value="d")).select("f", "u", "v", r("d").alias("d"))
+
+
+@query(f"""WITH {CELLS}, {BOXES}, i AS (SELECT b.f, c.u, c.v, c.d FROM c JOIN b ON b.f = c.f AND c.u >= l AND c.u < r AND c.v >= t AND c.v < b.b),
+    p AS (SELECT b.f, c.u, c.v, c.d FROM c JOIN b ON c.f = (b.f + 1) % 10 AND c.u >= l AND c.u < r AND c.v >= t AND c.v < b.b),
+    s AS (SELECT f, n * 0.9 / m AS k FROM (SELECT f, min(d) AS n FROM i WHERE d > 0 GROUP BY f) JOIN (SELECT f, max(d) AS m FROM p WHERE d > 0 GROUP BY f) USING (f))
+    SELECT c.f, c.u, c.v, round(coalesce(p.d * k, c.d), 6) + 0.0 AS d FROM c LEFT JOIN s ON s.f = c.f LEFT JOIN p ON p.f = c.f AND p.u = c.u AND p.v = c.v""")
+def u03b_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cells(spark, sf_dir).transform(transforms.paste(_boxes(spark), ["f"], value="d")).select("f", "u", "v", r("d").alias("d"))
