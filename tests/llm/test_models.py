@@ -82,6 +82,28 @@ def test_toxic_terms_are_learned(spark):
     assert [r.score >= 0.3 for r in toxicity.score(clear, model).orderBy("doc_id").collect()] == [True, False, False, False]
 
 
+def test_toxicity_counts_every_label(spark):
+    """More rows of a label than any fixed sample of 5,000."""
+    rng = np.random.default_rng(9)
+    letters = np.array(list("abcdefgilmnoprstu"))
+    rows = [(k, " ".join("".join(rng.choice(letters, 9)) for _ in range(3)) + (" rotten" if k < 5600 else " lovely"), int(k < 5600)) for k in range(6000)]
+    docs, labels = (spark.createDataFrame([tuple(r[c] for c in cs) for r in rows], kind) for cs, kind in (((0, 1), "doc_id long, text string"), ((0, 2), "doc_id long, toxic int")))
+    assert math.isclose(toxicity.fit_by_labels(docs, labels).terms["rotten"], 5600.5 / 5601, rel_tol=1e-12)
+
+
+def test_toxicity_fit_by_joins_is_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    words = ["".join(rng.choice(list("abcdefgilmnoprstu"), 6)) for _ in range(60)]
+    texts = [" ".join(rng.choice(words, 8)) + (" stupid" if k % 3 == 0 else " kind") for k in range(300)]
+    texts += [t + " now" for t in texts[:150]] + texts[:50]  # families of near and exact copies
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int("stupid" in t)) for k, t in enumerate(texts)] + [(7, 1), (7, 0), (None, 1)], "doc_id long, toxic int")
+    sent = toxicity.fit_by_labels(docs, labels)
+    monkeypatch.setattr(toxicity, "PACKED_ROWS", -1)
+    joined = toxicity.fit_by_labels(docs, labels)
+    assert sent.terms and (sent.terms, sent.base, sent.chars.counts) == (joined.terms, joined.base, joined.chars.counts)
+
+
 def test_toxicity_odd_tables(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit_by_labels(odd_docs, none)
