@@ -281,3 +281,44 @@ def test_average_motion_with_shifts(spark):
         assert np.allclose(np.array(x.rotation).reshape(3, 3), turns[f] @ turns[0].T, atol=1e-8)
         assert np.allclose(x.shift, moves[f] - turns[f] @ turns[0].T @ moves[0], atol=1e-8)
     assert fitting.average_motion(pairs.limit(0), ["clip"], "i", "j", "r", "t").count() == 0
+
+
+def brute_covisibility(rows):
+    folded, out = {}, {}
+    for h, u, w in rows:
+        if h is not None and u is not None:
+            folded.setdefault(h, {}).setdefault(u, []).append(w)
+    for seen in folded.values():
+        sums = {u: sum(w for w in ws if w is not None) if any(w is not None for w in ws) else None for u, ws in seen.items()}
+        for a in sums:
+            for b in sums:
+                if a < b:
+                    out.setdefault((a, b), []).append(None if sums[a] is None or sums[b] is None else sums[a] * sums[b])
+    return {k: sum(p for p in ps if p is not None) if any(p is not None for p in ps) else None for k, ps in out.items()}
+
+
+def odd_views(users=30):
+    rng = np.random.default_rng(4)
+    rows = [(int(h), int(u), float(np.round(w, 2))) for h, u, w in zip(rng.integers(0, 12, 200), rng.integers(0, users, 200), rng.normal(3, 2, 200), strict=True)]
+    return rows + [(99, 77, 1.0), (None, 3, 1.0), (2, None, 1.0), (50, 1, None), (50, 2, 4.0), (51, 1, 0.0), (51, 80, 5.0), (52, 81, 1e300), (52, 82, None), (52, 82, float("inf"))]
+
+
+@pytest.mark.parametrize("n", [1, 5, 60])
+def test_keyframes_are_brute_force(spark, n):
+    rows = [(c, h, u, w) for c in (0, 1) for h, u, w in odd_views(30 + 7 * c) if w is None or w < 1e299] + [(2, 1, 5, 1.0)]
+    got = fitting.keyframes_of_views(spark.createDataFrame(rows, "clip int, h int, u long, w double"), ["clip"], ["h"], "u", "w", n)
+    assert got.dtypes == [("clip", "int"), ("frame", "bigint"), ("place", "bigint")]
+    for clip in (0, 1, 2):
+        pairs = {k: round(w or 0.0, 6) for k, w in brute_covisibility([r[1:] for r in rows if r[0] == clip]).items()}
+        frames = sorted({u for k in pairs for u in k})
+        want = frames[:1]
+        while frames and len(want) < min(n, len(frames)):
+            want.append(min((f for f in frames if f not in want), key=lambda f: (max(pairs.get((min(f, c), max(f, c)), 0.0) for c in want), f)))
+        assert [r.frame for r in got.filter(F.col("clip") == clip).orderBy("place").collect()] == want
+    assert fitting.keyframes_of_views(spark.createDataFrame([], "h int, u long, w double"), [], ["h"], "u", "w", 3).count() == 0
+
+
+def test_keyframes_list_no_pairs(spark):
+    """3,000 viewers of one item have 4,498,500 pairs; the choice of 3 reads three rows of them."""
+    seen = spark.range(3000).select(F.lit(0).alias("h"), F.col("id").alias("u"), (F.lit(1.0) + (F.col("id") % 7)).alias("w"))
+    assert [r.frame for r in fitting.keyframes_of_views(seen, [], ["h"], "u", "w", 3).orderBy("place").collect()] == [0, 7, 14]

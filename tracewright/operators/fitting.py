@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.operators.depth import l1_scale
+from tracewright.operators.matching import folded_views
 
 
 def _names(rows: DataFrame, by: Sequence[str]) -> str:
@@ -171,6 +172,33 @@ def keyframes(edges: DataFrame, by: Sequence[str], i: str, j: str, weight: str,
     return edges.select(*keys, i, j, weight).groupBy(*keys).applyInPandas(choose, f"{_names(edges, keys)}, frame long, place long")
 
 
+def keyframes_of_views(seen: DataFrame, by: Sequence[str], item: Sequence[str], viewer: str, weight: str, n: int, places: int = 6) -> DataFrame:
+    """Keyframes of the graph of covisibility (frames are viewers that share an item with another), whose edges are not listed: each choice reads only the weights of the chosen ones.
+
+    Jobs run while the query is built, one or two for each of the n places, which hand the chosen frames to the driver. Weights are rounded, so that ties go to the smaller frame everywhere; a null weight counts as 0."""
+    keys, shared, spark = list(by), [*by, *item], seen.sparkSession
+    one = folded_views(seen, shared, viewer, weight)
+    several = one.groupBy(*shared).count().filter("count > 1").select(*shared)
+    one = one.join(several, shared, "left_semi").repartition(*keys, viewer).persist()
+    few = lambda rows, size: F.broadcast(rows) if size <= 50_000 else rows
+    try:
+        picks = [(*r, 0) for r in one.groupBy(*keys).agg(F.min(viewer).alias("frame")).filter("frame IS NOT NULL").collect()]
+        for place in range(1, n if picks else 0):
+            chosen = few(spark.createDataFrame([p[:-1] for p in picks], one.select(*keys, viewer).schema), len(picks))
+            theirs = one.join(chosen, [*keys, viewer]).select(*shared, F.col(viewer).alias("__c"), F.col("__w").alias("__x"))
+            sums = one.join(few(theirs, theirs.count()), shared, "left").groupBy(*keys, viewer, "__c").agg(F.round(F.coalesce(F.sum(F.col("__w") * F.col("__x")), F.lit(0.0)), places).alias("__s"))
+            met = sums.groupBy(*keys, viewer).agg(F.max(F.when(F.col("__c").isNotNull(), F.col("__s"))).alias("__s"), F.count("__c").alias("__m"))
+            near = F.when(F.col("__m") < place, F.greatest("__s", F.lit(0.0))).otherwise(F.col("__s"))
+            left = met.join(chosen, [*keys, viewer], "left_anti").groupBy(*keys).agg(F.min(F.struct(near.alias("near"), F.col(viewer).alias("frame"))).alias("best")).filter("best IS NOT NULL")
+            found = [(*r, place) for r in left.select(*keys, "best.frame").collect()]
+            if not found:
+                break
+            picks += found
+    finally:
+        one.unpersist()
+    return spark.createDataFrame([(*p[:-2], int(p[-2]), p[-1]) for p in picks], f"{_names(one, keys)}{', ' if keys else ''}frame long, place long")
+
+
 def average_motion(pairs: DataFrame, by: Sequence[str], i: str, j: str, rotation: str, shift: str | None = None) -> DataFrame:
     """Absolute rotations (the first frame is the identity) from relative ones R_ij = R_j R_i^T, by the leading eigenvectors of the block matrix of a clip.
 
