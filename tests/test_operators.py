@@ -303,6 +303,26 @@ def odd_views(users=30):
     return rows + [(99, 77, 1.0), (None, 3, 1.0), (2, None, 1.0), (50, 1, None), (50, 2, 4.0), (51, 1, 0.0), (51, 80, 5.0), (52, 81, 1e300), (52, 82, None), (52, 82, float("inf"))]
 
 
+@pytest.mark.parametrize(("block", "entries", "strip"), [(8192, 1 << 20, 1 << 19), (5, 1 << 20, 7), (1, 1 << 20, 1), (8192, 20, 50)])
+def test_covisibility_is_brute_force(spark, block, entries, strip):
+    seen = spark.createDataFrame(odd_views(), "h int, u long, w double")
+    got = matching.covisibility(seen, ["h"], "u", "w", block, entries, strip)
+    want = brute_covisibility(odd_views())
+    rows = {(r.i, r.j): r.weight for r in got.collect()}
+    assert got.dtypes == [("i", "bigint"), ("j", "bigint"), ("weight", "double")] and got.count() == len(want) and rows.keys() == want.keys()
+    assert all((rows[k] is None) == (want[k] is None) and (want[k] is None or np.isclose(rows[k], want[k], rtol=1e-12, atol=1e-12)) for k in want)
+    named = spark.createDataFrame([(h, None if h is None else f"x{h % 3}", None if u is None else f"\u00e9{u}", w) for h, u, w in odd_views()], "h int, g string, u string, w double")
+    assert {(r.i, r.j) for r in matching.covisibility(named, ["g", "h"], "u", "w", block, entries, strip).collect()} == {tuple(sorted((f"\u00e9{a}", f"\u00e9{b}"))) for a, b in want}
+
+
+def test_covisibility_shuffles_no_pairs(spark):
+    """400 viewers of the same 20 items: 79,800 pairs and 1,596,000 products from 8,000 rows."""
+    seen = spark.range(8000).select((F.col("id") % 20).alias("h"), F.floor(F.col("id") / 20).alias("u"), F.lit(0.0).alias("w"))
+    pairs = matching.covisibility(seen, ["h"], "u", "w")
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and pairs.count() == 400 * 399 // 2
+
+
 @pytest.mark.parametrize("n", [1, 5, 60])
 def test_keyframes_are_brute_force(spark, n):
     rows = [(c, h, u, w) for c in (0, 1) for h, u, w in odd_views(30 + 7 * c) if w is None or w < 1e299] + [(2, 1, 5, 1.0)]
