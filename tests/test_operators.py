@@ -323,6 +323,22 @@ def test_covisibility_shuffles_no_pairs(spark):
     assert "Join" not in plan and pairs.count() == 400 * 399 // 2
 
 
+def test_covisibility_sends_few_bytes(spark):
+    """100,000 views with weights of two decimals by 9,000 viewers (eight blocks or more): bytes that the query's tasks write for all its shuffles."""
+    sc = spark.sparkContext
+    seen = spark.range(100000).select((F.xxhash64("id") % 400).alias("h"), (F.col("id") % 9000).alias("u"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(20000)) / 100).alias("w"))
+
+    def written():
+        sc._jsc.sc().listenerBus().waitUntilEmpty()
+        stages = sc._jsc.sc().statusStore().stageList(sc._jvm.java.util.ArrayList(), False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+        return {(stages.apply(k).stageId(), stages.apply(k).attemptId()): stages.apply(k).shuffleWriteBytes() for k in range(stages.size())}
+
+    before = written()
+    matching.covisibility(seen, ["h"], "u", "w").write.format("noop").mode("overwrite").save()
+    sent = sum(size for stage, size in written().items() if stage not in before)
+    assert 0 < sent < 5_500_000, sent
+
+
 @pytest.mark.parametrize("n", [1, 5, 60])
 def test_keyframes_are_brute_force(spark, n):
     rows = [(c, h, u, w) for c in (0, 1) for h, u, w in odd_views(30 + 7 * c) if w is None or w < 1e299] + [(2, 1, 5, 1.0)]
